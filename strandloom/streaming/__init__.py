@@ -1,0 +1,4 @@
+"""Sequence matching is a batch job: its read deduplication, best-match and non-match steps need all rows.
+
+There are therefore no streaming operators here.
+"""
