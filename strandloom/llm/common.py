@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +23,10 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLANKS = bytes([32, *range(9, 14)])
 
 
+#: Rows that a Python function gets at a time, so that long texts don't add up in memory.
+ROWS = 512
+
+
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns alone, cast to the given types.
 
@@ -77,14 +87,33 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a Spark application, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strandloom_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    # the driver serves this file to the executors as long as it lives
+    d = os.path.realpath(tempfile.mkdtemp())
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    zipped = Path(d) / "strandloom.zip"
+    with zipfile.ZipFile(zipped, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(zipped))
+    sc._strandloom_shipped = True
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
     """mapInArrow with a function that ``make`` builds once a task."""
 
+    ship(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            if batch.num_rows:
-                yield from each(batch)
+            for k in range(0, batch.num_rows, ROWS):
+                yield from each(batch.slice(k, ROWS))
 
     return df.mapInArrow(run, schema)
 
