@@ -106,9 +106,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=200_000)
+        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=150_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece))
+        self.rest = Memo(lambda piece: self._piece(" " + piece), most=300_000)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -188,8 +188,25 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     return arrow_map(rows, make, schema)
 
 
+def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, ``n_tokens``, ``ids`` as ``encode`` gives them, and ``text`` as ``decode`` gives it
+    from these ids, in one pass of one Python worker. Nulls, empty texts and other columns are as there."""
+
+    def make():
+        enc = encoder(path)
+
+        def each(batch: pa.RecordBatch):
+            ids = [enc.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
+            texts = pa.array([decode_ids(enc.vocabulary, x) for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), texts], names=[id_col, "n_tokens", "ids", "text"])
+
+        return each
+
+    rows = pick(df, **{id_col: "bigint", text_col: "string"})
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string")
+
+
 def digests(documents: DataFrame, path: str) -> DataFrame:
     """Encodes and decodes every text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = encode(documents, path).withColumn("ids_sha256", F.sha2("ids", 256))
-    back = decode(coded, path, keep=("n_tokens", "ids_sha256"))
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    rows = round_trip(documents, path)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
