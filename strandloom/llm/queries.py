@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secrets, token_count, token_store
+from . import bpe, decontam, lang_id, quality, secrets, token_count, token_store
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,14 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.held_out(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
