@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lang_id, quality, secrets, token_count, token_store
+from . import ann, bpe, decontam, lang_id, lm, quality, secrets, token_count, token_store
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.held_out(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
