@@ -23,8 +23,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLANKS = bytes([32, *range(9, 14)])
 
 
-#: Rows that a Python function gets at a time, so that long texts don't add up in memory.
-ROWS = 512
+#: Rows and bytes that a Python function gets at a time, so that long texts don't add up in memory.
+ROWS, BYTES = 512, 16 << 20
 
 
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
@@ -104,16 +104,19 @@ def ship(spark: SparkSession) -> None:
     sc._strandloom_shipped = True
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
-    """mapInArrow with a function that ``make`` builds once a task."""
+def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str, rows: int = ROWS) -> DataFrame:
+    """mapInArrow, at most ``rows`` rows and about ``BYTES`` bytes at a time, with a function that ``make`` builds once a task; its ``finish``, if any, gives the last batches."""
 
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            for k in range(0, batch.num_rows, ROWS):
-                yield from each(batch.slice(k, ROWS))
+            n = max(1, min(rows, batch.num_rows * BYTES // max(1, batch.nbytes)))
+            for k in range(0, batch.num_rows, n):
+                yield from each(batch.slice(k, n))
+        if hasattr(each, "finish"):
+            yield from each.finish()
 
     return df.mapInArrow(run, schema)
 
