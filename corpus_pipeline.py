@@ -1,12 +1,49 @@
-"""The corpus pipeline: each stage takes what its predecessor kept."""
+"""The corpus pipeline: each stage takes what its predecessor kept, written as Parquet and read again.
+
+1. quality: texts that the byte-level network scores under 0.5 go;
+2. near_copies: of each group of texts linked by 80 % of their 5-word shingles the one with the least id stays;
+3. decontamination: texts in which a benchmark window occurs go;
+4. secrets: secrets in the texts become a mark;
+5. bpe: texts become token ids, and their digests show that decoding gives the texts back.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strandloom.llm import bpe, decontam, ngram_jaccard, quality, secrets
 from strandloom.llm.common import stored, table
 
-STAGES: list = []
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Fits on the labelled ones of these documents and keeps those that score as good; unlabelled ones are scored alike."""
+    return quality.good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.deduplicate(docs, n=5, part=80, whole=100)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit integers) and the digests of ids and decoded text."""
+    rows = bpe.round_trip(docs, public_tokenizers.path(TOKENIZER))
+    return rows.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality", keep_good), ("near_copies", keep_one_of_near_copies), ("decontamination", drop_contaminated), ("secrets", mask_secrets), ("bpe", to_tokens)]
+#: A convolutional network and byte-pair merges are beyond SQL: the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

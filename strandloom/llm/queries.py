@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, lang_id, lm, quality, secrets, token_count, token_store
+from . import ann, bpe, decontam, lang_id, lm, ngram_jaccard, quality, secrets, token_count, token_store
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(table(spark, sf_dir, "documents"), n=3, part=90, whole=100)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.held_out(table(spark, sf_dir, "documents"))
 
