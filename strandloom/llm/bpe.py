@@ -13,15 +13,18 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Memo, arrow_map, pick, slices
+from .pieces import packed
 
 SHORT = 128
 NONE = 1 << 60
@@ -38,6 +41,17 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+_MARKS = string.punctuation
+
+
+def plain_word(piece: str) -> tuple[str, str] | None:
+    """A piece of one blank, letters below U+0250 and then marks, as the two words that the patterns make of it."""
+    core = piece.rstrip(_MARKS)
+    if core[:1] == " " and core[1:].isalpha() and (core.isascii() or max(core) < "ɐ"):
+        return core, piece[len(core) :]
+    return None
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary file: ids, bytes of each id, ranks of pairs."""
 
@@ -106,15 +120,17 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=150_000)
+        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=700_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece), most=300_000)
+        self.rest = Memo(lambda piece: self._piece(" " + piece), most=1_000_000)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
+        if (two := plain_word(piece)) is not None:
+            return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else b"")
         return b"".join([self.of_word[w] for w in self.vocabulary.words(piece)])
 
     def plain(self, text: str) -> bytes:
@@ -132,6 +148,17 @@ class Encoder:
         return b"".join(out)
 
 
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts, and where each text's end."""
+        return packed(texts, self.vocabulary.specials, self.head.__getitem__, self.rest.__getitem__, self.encode)
+
+
+def binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Ids as one binary value a text."""
+    at = np.concatenate([[0], ends * 4]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(ids))])
+
+
 @lru_cache(4)
 def vocabulary(path: str) -> Vocabulary:
     """Kept for the life of a worker process."""
@@ -161,13 +188,13 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         enc = encoder(path)
 
         def each(batch: pa.RecordBatch):
-            ids = [enc.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids"])
+            ids, ends = enc.column(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends, prepend=0)), binary(ids, ends)], names=[id_col, "n_tokens", "ids"])
 
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary")
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary", rows=2048)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -196,14 +223,14 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         enc = encoder(path)
 
         def each(batch: pa.RecordBatch):
-            ids = [enc.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
-            texts = pa.array([decode_ids(enc.vocabulary, x) for x in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), texts], names=[id_col, "n_tokens", "ids", "text"])
+            ids, ends = enc.column(batch.column(1))
+            texts = pa.array([decode_ids(enc.vocabulary, ids[a:b].tobytes()) for a, b in zip([0, *ends.tolist()], ends.tolist())], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends, prepend=0)), binary(ids, ends), texts], names=[id_col, "n_tokens", "ids", "text"])
 
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string")
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string", rows=2048)
 
 
 def digests(documents: DataFrame, path: str) -> DataFrame:

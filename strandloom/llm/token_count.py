@@ -12,8 +12,9 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import _CUT, Vocabulary, vocabulary
+from .bpe import _CUT, Vocabulary, plain_word, vocabulary
 from .common import Memo, arrow_map, pick, slices
+from .pieces import sums
 
 
 def merge_by_heap(vocab: Vocabulary, word: bytes) -> tuple[int, list[int]]:
@@ -50,15 +51,17 @@ def merge_by_heap(vocab: Vocabulary, word: bytes) -> tuple[int, list[int]]:
 class Counter:
     def __init__(self, vocab: Vocabulary) -> None:
         self.vocab = vocab
-        self.of_word = Memo(self._word, most=200_000)
+        self.of_word = Memo(self._word, most=700_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece))
+        self.rest = Memo(lambda piece: self._piece(" " + piece), most=1_000_000)
 
     def _word(self, word: str) -> int:
         data = word.encode()
         return len(data) - merge_by_heap(self.vocab, data)[0]
 
     def _piece(self, piece: str) -> int:
+        if (two := plain_word(piece)) is not None:
+            return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else 0)
         return sum([self.of_word[w] for w in self.vocab.words(piece)])
 
     def plain(self, text: str) -> int:
@@ -86,14 +89,14 @@ def token_counts(df: DataFrame, path: str, limit: int = 1024, id_col: str = "doc
     """
 
     def make():
-        count = counter(path).count
+        c = counter(path)
 
         def each(batch: pa.RecordBatch):
             at, _ = slices(batch.column(1))
-            n = [count(t) if t else 0 for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((at[1:] - at[:-1]).astype("int64")), pa.array(n, pa.int64()), pa.array([k > limit for k in n])], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
+            n = sums(batch.column(1), c.vocab.specials, c.head.__getitem__, c.rest.__getitem__, c.count)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((at[1:] - at[:-1]).astype("int64")), pa.array(n), pa.array(n > limit)], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", rows=2048)

@@ -8,6 +8,7 @@ documents, or the metadata alone, reads those pages and columns only.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from functools import lru_cache
 
@@ -16,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _CUT
+from .bpe import _CUT, byte_letters, plain_word
 from .common import Memo, arrow_map, delete_at_exit, pick, shared_dir
+from .pieces import packed
 
 #: Bytes of a row group before compression, and of a page.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
@@ -33,12 +35,27 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.head = Memo(self._whole, most=50_000)
-        self.rest = Memo(lambda piece: self._whole(" " + piece), most=500_000)
+        self.model = self.tokenizer.model
+        letters = {b: letter for letter, b in byte_letters().items()}
+        self.letters = [letters[b] for b in range(256)]
+        self.of_word = Memo(self._word, most=500_000)
+        self.head = Memo(self._piece, most=50_000)
+        self.rest = Memo(lambda piece: self._piece(" " + piece), most=700_000)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """A word that the patterns leave in one part goes to the library's model alone, byte by byte as its letters."""
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        # a plain word, with marks behind it or not, is two words of the patterns; each is asked for once
+        if (two := plain_word(piece)) is None:
+            return self._whole(piece)
+        return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else b"")
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -72,20 +89,20 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, shards: int
     dealt = rows.withColumn("shard", shard).repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
 
     def make():
-        encode, end, done = library(tokenizer).encode, np.array([end_id], "<u4").tobytes(), [0]
+        lib, done = library(tokenizer), [0]
 
         def each(batch: pa.RecordBatch):
-            ids = [encode(t or "") + end for t in batch.column(1).to_pylist()]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            ends = done[0] + np.cumsum(n)
-            done[0] = int(ends[-1])
-            at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(n), pa.array(ends - n), lists], names=["shard", id_col, "n_tokens", "shard_start", "ids"])
+            ids, ends = packed(batch.column(1), lib.specials, lib.head.__getitem__, lib.rest.__getitem__, lib.encode)
+            ids = np.insert(ids, ends, end_id).astype(np.int32)
+            n = np.diff(ends, prepend=0) + 1
+            starts = done[0] + np.cumsum(n) - n
+            done[0] += int(n.sum())
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(n), pa.array(starts), lists], names=["shard", id_col, "n_tokens", "shard_start", "ids"])
 
         return each
 
-    coded = arrow_map(dealt, make, f"shard int, `{id_col}` bigint, n_tokens bigint, shard_start bigint, ids array<int>")
+    coded = arrow_map(dealt, make, f"shard int, `{id_col}` bigint, n_tokens bigint, shard_start bigint, ids array<int>", rows=4096)
     options = {
         "compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size": PAGE, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "PARQUET_2_0",
         "parquet.enable.dictionary": "false", "parquet.enable.dictionary#ids.list.element": "true",
