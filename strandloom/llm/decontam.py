@@ -197,10 +197,10 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
 
 
 def digests(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and longest, of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
     names = F.array_join(F.array_sort(F.transform("found.items", lambda i: i.cast("string"))), ",")
     hit = F.aggregate("found.hits", F.lit(0).cast("bigint"), lambda x, h: x + h["stop"] - h["start"])
-    return matches(documents, benchmark).select("doc_id", "found.n_words", hit.alias("n_hit"), F.size("found.items").cast("bigint").alias("n_items"), F.sha2(names.cast("binary"), 256).alias("items_sha256"), (F.size("found.hits") > 0).alias("contaminated"), "found.longest")
+    return matches(documents, benchmark).select("doc_id", "found.n_words", hit.alias("n_hit"), F.size("found.items").cast("bigint").alias("n_items"), F.sha2(names.cast("binary"), 256).alias("items_sha256"), (F.size("found.hits") > 0).alias("contaminated"))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
