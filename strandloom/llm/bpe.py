@@ -15,7 +15,6 @@ import json
 import re
 import string
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, arrow_map, pick, slices
-from .pieces import packed
+from .common import Memo, arrow_map, pick, resident, slices
+from .pieces import MARK, packed
 
 SHORT = 128
 NONE = 1 << 60
@@ -44,10 +43,15 @@ def byte_letters() -> dict[str, int]:
 _MARKS = string.punctuation
 
 
+def is_word(piece: str) -> bool:
+    """Whether a piece is letters below U+0250 alone, hence one word of the patterns."""
+    return piece.isalpha() and (piece.isascii() or max(piece) < "ɐ")
+
+
 def plain_word(piece: str) -> tuple[str, str] | None:
     """A piece of one blank, letters below U+0250 and then marks, as the two words that the patterns make of it."""
     core = piece.rstrip(_MARKS)
-    if core[:1] == " " and core[1:].isalpha() and (core.isascii() or max(core) < "ɐ"):
+    if core[:1] == " " and is_word(core[1:]):
         return core, piece[len(core) :]
     return None
 
@@ -120,14 +124,20 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=700_000)
+        self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=100_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece), most=1_000_000)
+        self.later = Memo(lambda piece: self._piece(" " + piece), most=50_000)  # of texts taken whole
+        self.rest = Memo(self._rest, most=400_000)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _rest(self, piece: str) -> bytes:
+        if piece[:1] == MARK:
+            return self._piece(piece[1:])
+        return self._pack(self.vocabulary.merge(b" " + piece.encode())) if is_word(piece) else self._piece(" " + piece)
+
     def _piece(self, piece: str) -> bytes:
         if (two := plain_word(piece)) is not None:
             return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else b"")
@@ -137,7 +147,7 @@ class Encoder:
         if not text:
             return b""
         head, *rest = _CUT.split(text)
-        return self.head[head] + b"".join(map(self.rest.__getitem__, rest))
+        return self.head[head] + b"".join(map(self.later.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         if not any(s in text for s in self.vocabulary.specials):
@@ -159,15 +169,12 @@ def binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(ids))])
 
 
-@lru_cache(4)
 def vocabulary(path: str) -> Vocabulary:
-    """Kept for the life of a worker process."""
-    return Vocabulary(path)
+    return resident(f"vocabulary {path}", lambda: Vocabulary(path))
 
 
-@lru_cache(4)
 def encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path))
+    return resident(f"encoder {path}", lambda: Encoder(Vocabulary(path)))
 
 
 def decode_ids(vocab: Vocabulary, ids: bytes) -> str:
@@ -194,7 +201,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary", rows=2048)
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary", rows=2048, keeps=f"encoder {path}")
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -212,7 +219,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
         return each
 
-    return arrow_map(rows, make, schema)
+    return arrow_map(rows, make, schema, keeps=f"vocabulary {path}")
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,7 +237,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string", rows=2048)
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string", rows=2048, keeps=f"encoder {path}")
 
 
 def digests(documents: DataFrame, path: str) -> DataFrame:

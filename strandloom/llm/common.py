@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -27,6 +30,27 @@ BLANKS = bytes([32, *range(9, 14)])
 ROWS, BYTES = 512, 16 << 20
 
 
+#: What a worker process keeps from task to task: the tables of one operator at a time, by its name.
+_resident: dict = {}
+
+
+def resident(name: str, build: Callable):
+    """What ``build`` gives, kept in this process until another operator runs in it."""
+    if name not in _resident:
+        vacate(name)
+        _resident[name] = build()
+    return _resident[name]
+
+
+def vacate(name: str = "") -> None:
+    """Drops what other operators have left in this process, and returns their memory."""
+    if _resident and name not in _resident:
+        _resident.clear()
+        gc.collect()
+        with contextlib.suppress(OSError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns alone, cast to the given types.
 
@@ -104,12 +128,16 @@ def ship(spark: SparkSession) -> None:
     sc._strandloom_shipped = True
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str, rows: int = ROWS) -> DataFrame:
-    """mapInArrow, at most ``rows`` rows and about ``BYTES`` bytes at a time, with a function that ``make`` builds once a task; its ``finish``, if any, gives the last batches."""
+def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str, rows: int = ROWS, keeps: str = "") -> DataFrame:
+    """mapInArrow, at most ``rows`` rows and about ``BYTES`` bytes at a time, with a function that ``make`` builds once a task; its ``finish``, if any, gives the last batches.
+
+    ``keeps`` names what the function keeps in its process by ``resident``; all else is dropped before it begins.
+    """
 
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate(keeps)
         each = make()
         for batch in batches:
             n = max(1, min(rows, batch.num_rows * BYTES // max(1, batch.nbytes)))

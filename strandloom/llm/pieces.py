@@ -1,7 +1,7 @@
 """Whole columns of texts cut at blanks and numbered in Arrow, so that a tokenizer sees each distinct piece once.
 
 A cut before a blank is safe where a non-blank stands on one side of it: every token of the byte-level patterns ends
-or starts there. Texts with a blank between blanks, and those with special tokens, go to the tokenizer whole.
+or starts there. Texts with a blank between blanks, and those with special tokens, go to the tokenizer whole. In most texts commas and stops are cut from the words before them too.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Stands before a comma or stop that was cut from the word before it: such a piece has no blank before it.
+MARK = "\x01"
+_LETTERS = r"A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
 _BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 
 
@@ -23,15 +26,20 @@ def numbered(column: pa.Array, specials: Iterable[str]) -> tuple[np.ndarray, np.
     The number of a first piece is len(distinct) + its text's place.
     """
     column = column.fill_null("") if column.null_count else column
-    odd = pc.match_substring_regex(column, "|".join([f"{_BLANK} ({_BLANK}|$)", *map(re.escape, specials)]))
+    odd = pc.match_substring_regex(column, "|".join([f"{_BLANK} ({_BLANK}|$)", MARK, *map(re.escape, specials)]))
     whole = {i: column[i].as_py() for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
     if whole:
         column = pc.if_else(odd, pa.scalar("", column.type), column)
-    parts = pc.split_pattern(column, " ")
+    # no token goes from a letter or digit to a mark; texts where some comma or stop follows another sign stay as they are
+    plain = pc.invert(pc.match_substring_regex(column, rf"(^|[^{_LETTERS}])[.,] "))
+    cut = column
+    for sign in ".,":
+        cut = pc.replace_substring(cut, sign + " ", f" {MARK}{sign} ")
+    parts = pc.split_pattern(pc.if_else(plain, cut, column), " ")
     coded = parts.flatten().dictionary_encode()
     numbers = coded.indices.to_numpy().astype(np.int64)
     ends = np.cumsum(pc.list_value_length(parts).to_numpy().astype(np.int64))
-    return numbers, ends, coded.dictionary.to_pylist(), whole
+    return numbers, ends, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), whole
 
 
 def values(column: pa.Array, specials: Iterable[str], head: Callable, rest: Callable, text: Callable) -> tuple[list, np.ndarray, np.ndarray]:
@@ -45,7 +53,7 @@ def values(column: pa.Array, specials: Iterable[str], head: Callable, rest: Call
     used = np.zeros(len(distinct), bool)
     used[numbers[later]] = True
     none = rest("") if used.any() else found[0]
-    all_values = [rest(p) if u else none for p, u in zip(distinct, used.tolist())] + found
+    all_values = [*(map(rest, distinct) if used.all() else (rest(p) if u else none for p, u in zip(distinct, used.tolist()))), *found]
     numbers[first] = len(distinct) + np.arange(len(ends))
     return all_values, numbers, ends
 
@@ -54,7 +62,7 @@ def packed(column: pa.Array, specials: Iterable[str], head: Callable, rest: Call
     """All ids of a column (unsigned 32-bit) and where each text's end; the functions give packed ids."""
     found, numbers, ends = values(column, specials, head, rest, text)
     pool = np.frombuffer(b"".join(found), "<u4")
-    n = np.array([len(x) for x in found], np.int64) // 4
+    n = np.fromiter(map(len, found), np.int64, len(found)) // 4
     start = np.cumsum(n) - n
     lengths = n[numbers]
     done = np.cumsum(lengths)

@@ -6,15 +6,14 @@ again and again; the count of a word is its number of first symbols less the num
 
 from __future__ import annotations
 
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import _CUT, Vocabulary, plain_word, vocabulary
-from .common import Memo, arrow_map, pick, slices
-from .pieces import sums
+from .bpe import _CUT, Vocabulary, is_word, plain_word
+from .common import Memo, arrow_map, pick, resident, slices
+from .pieces import MARK, sums
 
 
 def merge_by_heap(vocab: Vocabulary, word: bytes) -> tuple[int, list[int]]:
@@ -51,14 +50,20 @@ def merge_by_heap(vocab: Vocabulary, word: bytes) -> tuple[int, list[int]]:
 class Counter:
     def __init__(self, vocab: Vocabulary) -> None:
         self.vocab = vocab
-        self.of_word = Memo(self._word, most=700_000)
+        self.of_word = Memo(self._word, most=200_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece), most=1_000_000)
+        self.later = Memo(lambda piece: self._piece(" " + piece), most=50_000)  # of texts taken whole
+        self.rest = Memo(self._rest, most=1_000_000)
 
     def _word(self, word: str) -> int:
         data = word.encode()
         return len(data) - merge_by_heap(self.vocab, data)[0]
 
+    def _rest(self, piece: str) -> int:
+        if piece[:1] == MARK:
+            return self._piece(piece[1:])
+        return self._word(" " + piece) if is_word(piece) else self._piece(" " + piece)
+
     def _piece(self, piece: str) -> int:
         if (two := plain_word(piece)) is not None:
             return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else 0)
@@ -68,7 +73,7 @@ class Counter:
         if not text:
             return 0
         head, *rest = _CUT.split(text)
-        return self.head[head] + sum(map(self.rest.__getitem__, rest))
+        return self.head[head] + sum(map(self.later.__getitem__, rest))
 
     def count(self, text: str) -> int:
         if not any(s in text for s in self.vocab.specials):
@@ -76,9 +81,8 @@ class Counter:
         return sum(1 if k % 2 else self.plain(part) for k, part in enumerate(self.vocab.split_specials(text)))
 
 
-@lru_cache(4)
 def counter(path: str) -> Counter:
-    return Counter(vocabulary(path))
+    return resident(f"counter {path}", lambda: Counter(Vocabulary(path)))
 
 
 def token_counts(df: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -99,4 +103,4 @@ def token_counts(df: DataFrame, path: str, limit: int = 1024, id_col: str = "doc
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", rows=2048)
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", rows=2048, keeps=f"counter {path}")

@@ -10,16 +10,15 @@ from __future__ import annotations
 
 import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _CUT, byte_letters, plain_word
-from .common import Memo, arrow_map, delete_at_exit, pick, shared_dir
-from .pieces import packed
+from .bpe import _CUT, byte_letters, is_word, plain_word
+from .common import Memo, arrow_map, delete_at_exit, pick, resident, shared_dir
+from .pieces import MARK, packed
 
 #: Bytes of a row group before compression, and of a page.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
@@ -38,18 +37,25 @@ class LibraryEncoder:
         self.model = self.tokenizer.model
         letters = {b: letter for letter, b in byte_letters().items()}
         self.letters = [letters[b] for b in range(256)]
-        self.of_word = Memo(self._word, most=500_000)
+        self.of_word = Memo(self._word, most=200_000)
         self.head = Memo(self._piece, most=50_000)
-        self.rest = Memo(lambda piece: self._piece(" " + piece), most=700_000)
+        self.later = Memo(lambda piece: self._piece(" " + piece), most=50_000)  # of texts taken whole
+        self.rest = Memo(self._rest, most=900_000)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         """A word that the patterns leave in one part goes to the library's model alone, byte by byte as its letters."""
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        letters = self.letters[32] + word[1:] if word[1:].isascii() and word[1:].isalpha() else word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _rest(self, piece: str) -> bytes:
+        if piece[:1] == MARK:
+            return self._whole(piece[1:])
+        return self._word(" " + piece) if is_word(piece) else self._piece(" " + piece)
+
     def _piece(self, piece: str) -> bytes:
         # a plain word, with marks behind it or not, is two words of the patterns; each is asked for once
         if (two := plain_word(piece)) is None:
@@ -62,12 +68,11 @@ class LibraryEncoder:
         if any(s in text for s in self.specials):
             return self._whole(text)
         head, *rest = _CUT.split(text)
-        return self.head[head] + b"".join(map(self.rest.__getitem__, rest))
+        return self.head[head] + b"".join(map(self.later.__getitem__, rest))
 
 
-@lru_cache(4)
 def library(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+    return resident(f"library {path}", lambda: LibraryEncoder(path))
 
 
 def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -102,7 +107,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, shards: int
 
         return each
 
-    coded = arrow_map(dealt, make, f"shard int, `{id_col}` bigint, n_tokens bigint, shard_start bigint, ids array<int>", rows=4096)
+    coded = arrow_map(dealt, make, f"shard int, `{id_col}` bigint, n_tokens bigint, shard_start bigint, ids array<int>", rows=4096, keeps=f"library {tokenizer}")
     options = {
         "compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size": PAGE, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "PARQUET_2_0",
         "parquet.enable.dictionary": "false", "parquet.enable.dictionary#ids.list.element": "true",
