@@ -168,15 +168,16 @@ def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "
     repeated; null ids stay null; an empty table gives an empty one; other columns are left out.
     """
     plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
-    if keep:
-        rows = plain.select(F.struct("*").alias("row"), F.col(f"_c{df.columns.index(text_col)}").cast("string").alias("text"))
+    at_row = df.columns.index(text_col) if keep else None
+    if keep:  # the text is read out of the row, so it is sent once
+        rows = plain.withColumn(f"_c{at_row}", F.col(f"_c{at_row}").cast("string")).select(F.struct("*").alias("row"))
     else:
         rows = pick(df, **{id_col: "bigint", text_col: "string"}).toDF("row", "text")
     sent = df.sparkSession.sparkContext.broadcast(net)
 
     def make():
         def each(batch: pa.RecordBatch):
-            at, data = slices(batch.column(1))
+            at, data = slices(batch.column(0).field(at_row) if keep else batch.column(1))
             odds = mean_odds(sent.value, [bytes(data[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sent.value.probability(odds))], names=["row", "score"])
 
