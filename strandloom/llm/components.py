@@ -1,15 +1,57 @@
 """Connected components by alternating stars.
 
-Each round links every node's larger neighbours, then its smaller ones, to the least of them; every intermediate edge
+Edges are first contracted within partitions. Each round links every node's larger neighbours, then its smaller ones, to the least of them; every intermediate edge
 set is written to the shared folder. Rounds grow with the logarithm of the number of nodes.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, stored
+from .common import arrow_map, forget, stored
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of an edge list and the least node that each reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while len(x):
+        least = np.minimum(label[x], label[y])
+        before = label.copy()
+        # the roots of both ends, and the ends, go to the lesser root
+        for ends in (label[x], label[y], x, y):
+            np.minimum.at(label, ends, least)
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    return nodes, nodes[label]
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Each partition's edges as stars around the least nodes: as many rows as it has other nodes, at most."""
+
+    def make():
+        held: list[pa.RecordBatch] = []
+
+        def each(batch: pa.RecordBatch):
+            held.append(batch)
+            return iter(())
+
+        def finish():
+            if held:
+                a, b = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1))
+                nodes, least = roots(a, b)
+                own = nodes != least
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(least[own])], names=["a", "b"])
+
+        each.finish = finish
+        return each
+
+    return arrow_map(edges.repartition("b"), make, "a bigint, b bigint", rows=1 << 20)
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -27,7 +69,7 @@ def _star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, what: str) -> DataFrame:
     """node and root (the least node that it reaches) of all nodes of an edge list a, b of integers; loops are dropped."""
     spark = edges.sparkSession
-    now = stored(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{what}-0")
+    now = stored(_contracted(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct(), f"{what}-0")
     state = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     before, k = state(now), 0
     while before[0]:
