@@ -105,7 +105,7 @@ def _best(rows: DataFrame, by: list[str], order: list[Column], most: int) -> Dat
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= most)
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.95, rerank: int = 128, parts: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.98, rerank: int = 128, parts: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row whose id is divisible by ``every``.
 
     All rows but the query's own are candidates, all if there are no more than ``k``; ties go to the smaller id.

@@ -101,7 +101,9 @@ def test_linked_sets_always_share_an_entry(part):
                     break
                 other = next_
             if not np.array_equal(own, other):
-                assert set(J.entries(own, plan).tolist()) & set(J.entries(other, plan).tolist())
+                common = np.sort(rng.permutation(np.union1d(own, other))[: rng.integers(size + 1)])
+                for known in (None, common):
+                    assert set(J.entries(own, plan, known).tolist()) & set(J.entries(other, plan, known).tolist())
 
 
 def test_components_of_a_chain_and_a_star(spark):
