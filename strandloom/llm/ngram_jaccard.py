@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, Memo, arrow_map, mixed, pick, slices, stored
+from .common import BLANKS, LOWER, Memo, arrow_map, mixed, pick, resident, slices, stored
 from .components import components
 
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
 #: Least and most texts, and most shingles, of a block of a candidate component. Columns of the overlap product at a
 #: time. Entries held by a map task.
-LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 256, 2048, 1 << 20, 4096, 1 << 20
+LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 4096, 1 << 20
+#: Texts of the sample that frequent shingles are found in, and most of these.
+SAMPLE, COMMON = 50_000, 500_000
 #: Cost of a list entry against that of an enumerated subset: a list's candidates are still to be verified.
 LIST_COST = 3
 #: Bits of the filter over candidate texts' ids.
@@ -85,9 +87,9 @@ class Plan:
             for spare in range(2, max(3, need * 3 // 5)):
                 mean = least / (need + spare)
                 expected = (need + spare) * exp(-mean) * (1 + mean * few)
-                if expected + 3 * expected**0.5 <= spare:
+                if expected + 3 * expected**0.5 + 2 * (1 - few) <= spare:
                     return need + spare, spare, few
-        return need + 2, 2, 0
+        return need + 4, 4, 0
 
 
 @lru_cache(8)
@@ -115,9 +117,8 @@ class Shingles:
         return np.unique(out)
 
 
-@lru_cache(4)
 def shingles(n: int) -> Shingles:
-    return Shingles(n)
+    return resident(f"shingles {n}", lambda: Shingles(n))
 
 
 def digest(own: np.ndarray) -> int:
@@ -126,8 +127,11 @@ def digest(own: np.ndarray) -> int:
         return int(mixed(mixed(own).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own))).astype(np.int64)[0])
 
 
-def entries(own: np.ndarray, p: Plan) -> np.ndarray:
-    """Keys of the subsets and list blocks that a set goes to."""
+def entries(own: np.ndarray, p: Plan, common: np.ndarray | None = None) -> np.ndarray:
+    """Keys of the subsets and list blocks that a set goes to; ``common`` holds sorted hashes of frequent shingles.
+
+    Whether a range may be left out depends on its content alone, so linked sets agree about the ranges they agree on.
+    """
     s, out = len(own), []
     spread = mixed(own ^ np.uint64(0xD6E8FEB86659FD93))
     with np.errstate(over="ignore"):
@@ -137,6 +141,10 @@ def entries(own: np.ndarray, p: Plan) -> np.ndarray:
                 gone = np.array([sum(x) & 0xFFFFFFFFFFFFFFFF for x in combinations(spread.tolist(), s - c)], np.uint64)
                 out.append(mixed(total - gone + np.uint64(min(s, t) * 1000003 + max(s, t))))
         if s > p.light:
+            rare = None
+            if common is not None and len(common):
+                known = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+                rare = np.concatenate([[0], np.cumsum(~known)])
             band = p.band(s)
             for b in (band, band - 1):
                 if b < 0:
@@ -148,6 +156,8 @@ def entries(own: np.ndarray, p: Plan) -> np.ndarray:
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(spread, dtype=np.uint64)])
                 keys = mixed(sums[at[1:]] - sums[at[:-1]] + mixed(np.arange(ranges, dtype=np.uint64) + np.uint64((b + 1) << 32)) + n.astype(np.uint64))
                 full = n > few
+                if rare is not None:  # ranges of frequent shingles alone are weak too
+                    full &= rare[at[1:]] > rare[at[:-1]]
                 out.append(keys[full] if (~full).sum() <= spare else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -159,8 +169,34 @@ def _runs(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))], keys
 
 
+def common_shingles(rows: DataFrame, n: int) -> np.ndarray:
+    """Hashes of shingles that several texts of a bounded sample have: at most COMMON of them, the most frequent first.
+
+    They only tell which ranges of a set are worth a list; the join is exact whatever they are.
+    """
+    share = min(1 / 16, SAMPLE / max(1, rows.count()))
+    few = rows.filter(F.pmod(F.xxhash64(F.lit("common"), F.col("id")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+
+    def make():
+        of = shingles(n).of
+
+        def each(batch: pa.RecordBatch):
+            at, data = slices(batch.column(1))
+            sets = [of(bytes(data[x:y])) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).astype(np.int64))], names=["s"])
+
+        return each
+
+    seen = arrow_map(few.select("id", "text"), make, "s bigint", keeps=f"shingles {n}").groupBy("s").count().filter("count >= 3")
+    found = seen.orderBy(F.desc("count"), "s").limit(COMMON).select("s").toArrow()
+    return np.sort(found["s"].to_numpy().astype(np.uint64)) if found.num_rows else np.zeros(0, np.uint64)
+
+
 def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     """kind 0: a = digest, b = id, n; kind 1: a = key, b = digest; kind 2: a = digest, b = digest of a candidate."""
+    # for higher thresholds ranges hold so many shingles that frequent ones hardly ever fill one
+    common = common_shingles(rows, n) if 100 * part < 88 * whole else np.zeros(0, np.uint64)
+    sent = rows.sparkSession.sparkContext.broadcast(common)
 
     def make():
         own_plan, of, seen = plan(part, whole), shingles(n).of, set()
@@ -192,7 +228,7 @@ def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFr
                 size.append(len(own))
                 if len(own) and ids[i] is not None and d not in seen:
                     seen.add(d)
-                    if len(k := entries(own, own_plan)):
+                    if len(k := entries(own, own_plan, sent.value)):
                         keys.append(k)
                         nodes.append(np.full(len(k), d, np.int64))
                         held[0] += len(k)
@@ -203,7 +239,7 @@ def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFr
         each.finish = flush
         return each
 
-    return arrow_map(rows, make, "kind tinyint, a bigint, b bigint, n int")
+    return arrow_map(rows, make, "kind tinyint, a bigint, b bigint, n int", keeps=f"shingles {n}")
 
 
 def _joined_lists(rows: DataFrame) -> DataFrame:
@@ -348,7 +384,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         return each
 
     rows = documents.filter(F.col("id").isNotNull()).select("id", "text", place.alias("p"))
-    return arrow_map(rows, make, "id bigint, node bigint, own binary")
+    return arrow_map(rows, make, "id bigint, node bigint, own binary", keeps=f"shingles {n}")
 
 
 def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,11 +403,13 @@ def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: st
     # candidates: components of shared subsets and lists, in blocks of bounded size
     candidates = components(found.filter("kind = 2").select("a", "b"), "candidates")
     members = stored(candidates.join(nodes, "node"), "members")
-    texts = F.least(F.lit(MOST_TEXTS), F.greatest(F.lit(LEAST_TEXTS), F.sqrt(64.0 * F.count("*"))))
+    texts = F.least(F.lit(MOST_TEXTS), F.greatest(F.lit(LEAST_TEXTS), F.sqrt(32.0 * F.count("*"))))
     blocks = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / texts), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = members.join(_sets(rows.withColumn("text", F.col("text").cast("binary")), members.select("id"), n), ["id", "node"])
+    # the small tables first: sets are dealt twice only, by id and by block
+    placed = members.join(blocks, "root")
+    members = placed.join(_sets(rows.withColumn("text", F.col("text").cast("binary")), members.select("id"), n), ["id", "node"])
     mine = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    pairs = members.join(blocks, "root").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "times", "own")
     true = stored(_verified(pairs, part, whole), "links")
     links = true.filter("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
