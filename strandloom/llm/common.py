@@ -135,6 +135,8 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
     """
 
     ship(df.sparkSession)
+    # what Spark sends to a worker at a time; of very long texts its own default is several times as much
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate(keeps)

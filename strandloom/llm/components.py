@@ -51,7 +51,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
         each.finish = finish
         return each
 
-    return arrow_map(edges.repartition("b"), make, "a bigint, b bigint", rows=1 << 20)
+    return arrow_map(edges.repartition("a"), make, "a bigint, b bigint", rows=1 << 20)
 
 
 def _star(edges: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from .components import components
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
 #: Least and most texts, and most shingles, of a block of a candidate component. Columns of the overlap product at a
 #: time. Entries held by a map task.
-LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 4096, 1 << 20
+LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 4096, 1 << 19
 #: Texts of the sample that frequent shingles are found in, and most of these.
 SAMPLE, COMMON = 50_000, 500_000
 #: Cost of a list entry against that of an enumerated subset: a list's candidates are still to be verified.
