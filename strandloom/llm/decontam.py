@@ -2,7 +2,7 @@
 
 A shard is a batch of documents as word numbers (words that no benchmark item has are 0 and end every match). Its
 suffix array holds the places from which at least as many known words follow as the shortest window has, sorted by
-what follows, to the depth of the longest item. Every test suffix is sought in it by binary search; the range of
+what follows, to one word more than the longest item has. Every test suffix is sought in it by binary search; the range of
 suffixes that begin with its window gives all verbatim occurrences and their locations, and neighbours in sorted
 order give the longest match.
 
@@ -41,13 +41,15 @@ class Tests:
         for item, text in items:
             if words := words_of((text or "").encode()):
                 lines.append((item, [self.number.setdefault(w, len(self.number) + 1) for w in words]))
-        self.depth = min(DEPTH, max((len(x) for _, x in lines), default=1))
         owners: dict[tuple, set] = defaultdict(set)
         suffixes = set()
         for item, x in lines:
             n = min(window, len(x))
             for j in range(len(x) - n + 1):
                 owners[tuple(x[j : j + n])].add(item)
+        # one column more than the longest window has, so that the bounds of its range differ
+        self.depth = 1 + max(min(DEPTH, max((len(x) for _, x in lines), default=1)), max(map(len, owners), default=1))
+        for _, x in lines:
             suffixes.update(tuple(x[j : j + self.depth]) for j in range(len(x)))
         self.least = min(map(len, owners), default=0)
         self.windows = []
@@ -105,7 +107,7 @@ def search(tests: Tests, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, l
                 ok = (side >= 0) & (side < len(test_keys))
                 same = tests.suffixes[np.clip(side, 0, len(test_keys) - 1)] == mine
                 same &= mine != 0
-                best = np.maximum(best, np.where(ok, np.where(same.all(1), tests.depth, same.argmin(1)), 0))
+                best = np.maximum(best, np.where(ok, np.where(same.all(1), tests.depth - 1, same.argmin(1)), 0))
             far.append(best)
             far_at.append(own[hit])
     return np.concatenate(starts) if starts else np.zeros(0, np.int64), np.concatenate(lengths) if lengths else np.zeros(0, np.int64), found, np.concatenate(far_at), np.concatenate(far)

@@ -151,6 +151,17 @@ def test_decontamination(spark, monkeypatch, least, block_chars):
     assert decontam.digests(df.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("longest", [3, 10, 11])
+def test_windows_as_long_as_the_longest_item_are_found(spark, longest):
+    items = [(1, " ".join(f"w{k}" for k in range(longest))), (2, "w1 w2")]
+    documents = [(1, f"x {items[0][1]} y"), (2, items[0][1]), (3, "w0 w1"), (4, "w1 w2"), (5, items[0][1] + " " + items[0][1])]
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r[c] for c in COLUMNS) for r in decontam.digests(df, bench).collect()), key=str)
+    assert got == brute(documents, items, 10)
+    assert [r["doc_id"] for r in decontam.decontaminate(df, bench).collect()] == [3]
+
+
 def test_longest_matches():
     tests = decontam.Tests([(1, "a b c d e f g h i j k l m"), (2, "x y z")], 10)
     assert tests.least == 3
