@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +24,10 @@ def reverse_complement(seq: Column) -> Column:
 
 def dinucleotides(seq: Column) -> Column:
     """Number of distinct adjacent pairs, all letters but A, C, G and T being one; 0 for fewer than two letters."""
-    plain = normalised(seq)
-    pairs = F.transform(F.sequence(F.lit(1), F.length(plain) - 1), lambda i: F.substr(plain, i, F.lit(2)))
-    # sequence() counts downwards if it must, so short sequences are kept from it
-    return F.when(F.length(seq) < 2, F.lit(0)).otherwise(F.size(F.array_distinct(pairs)))
+    # one search for each pair there can be: substr() would walk a long text from its start for every place
+    pairs = [x + y for x in "ACGTX" for y in "ACGTX"]
+    found = F.transform(F.array(normalised(seq)), lambda plain: reduce(add, (F.contains(plain, F.lit(p)).cast("int") for p in pairs)))
+    return found[0]
 
 
 def hamming(a: Column, b: Column) -> Column:

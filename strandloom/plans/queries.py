@@ -78,6 +78,18 @@ def hamming(spark, sf_dir):
     return one.join(two, "tnum").select("tnum", S.hamming(F.col("a"), F.col("b")).alias("nmiss"))
 
 
+def dinuc_whole(spark, sf_dir):
+    return target_rows(spark, sf_dir).select("tnum", S.dinucleotides(F.col("seq")).alias("n"))
+
+
+def hamming_whole(spark, sf_dir):
+    """Each text against the next one, the shorter padded with X to the length of the longer."""
+    one = target_rows(spark, sf_dir).select("tnum", F.col("seq").alias("a"))
+    two = one.select((F.col("tnum") - 1).alias("tnum"), F.col("a").alias("b"))
+    most = F.greatest(F.length("a"), F.length("b"))
+    return one.join(two, "tnum").select("tnum", S.hamming(F.rpad("a", most, F.lit("X")), F.rpad("b", most, F.lit("X"))).alias("nmiss"))
+
+
 def allowed(spark, sf_dir):
     return target_rows(spark, sf_dir).select("tnum", S.allowed_mismatches(F.col("tlen"), SHARE).alias("allowed"))
 
@@ -181,7 +193,7 @@ def verify_targets(spark, sf_dir):
 
 
 _NAMES = (
-    "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "kmer_candidates",
+    "subx", "revcomp", "dinuc", "hamming", "dinuc_whole", "hamming_whole", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "kmer_candidates",
     "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets",
 )
 
@@ -243,6 +255,8 @@ def oracle_sql() -> dict[str, str]:
         "revcomp": f"WITH {_TARGETS} SELECT tnum, translate(reverse(seq), 'ACGT', 'TGCA') AS seq FROM t",
         "dinuc": f"WITH {_TARGETS} SELECT tnum, {_varied('substr(seq, 1, 12)')}::INT AS n FROM t",
         "hamming": f"WITH {_TARGETS}, a AS (SELECT tnum, rpad(substr(seq, 1, 50), 50, 'X') AS a FROM t) SELECT x.tnum, hamming(x.a, y.a)::INT AS nmiss FROM a x JOIN a y ON y.tnum = x.tnum + 1",
+        "dinuc_whole": f"WITH {_TARGETS} SELECT tnum, {_varied('seq')}::INT AS n FROM t",
+        "hamming_whole": f"WITH {_TARGETS}, a AS (SELECT x.tnum, x.seq AS a, y.seq AS b, greatest(length(x.seq), length(y.seq))::INT AS n FROM t x JOIN t y ON y.tnum = x.tnum + 1) SELECT tnum, hamming(rpad(a, n, 'X'), rpad(b, n, 'X'))::INT AS nmiss FROM a",
         "allowed": f"WITH {_TARGETS} SELECT tnum, trunc((1.0::DOUBLE - {SHARE}::DOUBLE) * tlen)::INT AS allowed FROM t",
         "shortened_names": f"SELECT doc_id, {_short('text')} AS name, regexp_extract(text, '^\\s*(\\S+)', 1) AS first FROM documents",
         "prep_targets": f"WITH {_TARGETS} SELECT lpad(tnum::VARCHAR, 11, '0') AS id_num, name, seq, tlen FROM t",

@@ -25,3 +25,17 @@ def test_query_equals_sql(spark, name):
 
 def test_every_query_has_sql():
     assert set(Q.queries()) == set(Q.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["dinuc_whole", "hamming_whole"])
+def test_whole_text_query_equals_sql(spark, name):
+    test_query_equals_sql(spark, name)
+
+
+def test_letters_after_a_prefix_count(spark, tmp_path):
+    texts = ["a" * 60 + "bcdac", "a" * 70, "b" * 55]  # a, b, c and d become A, C, G and T
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    # AA, AC, CG, GT, TA, AG
+    assert {r["tnum"]: r["n"] for r in Q.dinuc_whole(spark, str(tmp_path)).collect()} == {0: 6, 1: 1, 2: 1}
+    # bcd and c, and the five places that the other text lacks; all of 55 and the 15 places beyond
+    assert {r["tnum"]: r["nmiss"] for r in Q.hamming_whole(spark, str(tmp_path)).collect()} == {0: 9, 1: 70}
