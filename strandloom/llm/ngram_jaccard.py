@@ -396,6 +396,11 @@ def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: st
     ties go to the smaller id; an empty table gives an empty one; other columns are left out.
     """
     rows = pick(df, **{id_col: "bigint", text_col: "string"}).toDF("id", "text")
+    return _linked(rows, n, part, whole).select(F.col("id").alias(id_col), "n_shingles", "component_id", "n_links")
+
+
+def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
+    """What ``join`` gives for rows id, text, and the node (digest of the set) and root (of the component; null where nothing can link) of each."""
     found = stored(_joined_lists(_nodes_and_entries(rows.withColumn("text", F.col("text").cast("binary")), n, part, whole)), "jaccard")
     docs = found.filter("kind = 0").select(F.col("a").alias("node"), F.col("b").alias("id"), F.col("n").cast("bigint").alias("n_shingles"))
     nodes = docs.filter("n_shingles > 0 and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.min("n_shingles").alias("n"))
@@ -415,16 +420,48 @@ def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: st
     links = true.filter("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     least = nodes.join(components(true.filter("kind = 0").select("a", "b"), "components"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = least.groupBy("root").agg(F.min("id").alias("component_id"))
-    classes = least.join(ids, "root").join(links, "node", "left").select("node", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes, "node").select("id", "n_shingles", "component_id", "n_links")
-    alone = docs.filter("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
-    return linkable.unionByName(alone).withColumnRenamed("id", id_col)
+    classes = least.join(ids, "root").join(links, "node", "left").select("node", "root", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes, "node").select("id", "node", "root", "n_shingles", "component_id", "n_links")
+    alone = docs.filter("n_shingles = 0 or id is null").select("id", "node", F.lit(None).cast("bigint").alias("root"), "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
+    return linkable.unionByName(alone)
 
 
 def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, all columns, of ``df`` of which the id is the least of its group; rows that link with nothing stay."""
-    keep = join(df, n, part, whole, id_col, text_col).filter(F.col("component_id") == F.col(id_col)).select(F.col(id_col).alias("_kept")).distinct()
-    at = df.columns.index(id_col)
+    """The rows, all columns, of ``df``, one of each group: of those with its least id one; rows that link with nothing stay.
+
+    Of repeated rows one stays. Rows of one id are judged each by its own text. Rows without an id link with nothing
+    (see ``join``), so all of them stay, whatever their text; so do all without a word.
+    """
+    at, text_at = df.columns.index(id_col), df.columns.index(text_col)
     plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
-    kept = plain.join(keep, plain[f"_c{at}"].cast("bigint") == keep["_kept"], "left_semi")
-    return kept.unionByName(plain.filter(plain[f"_c{at}"].isNull())).toDF(*df.columns)
+    key = plain[f"_c{at}"].cast("bigint")
+    linked = _linked(pick(df, **{id_col: "bigint", text_col: "string"}).toDF("id", "text"), n, part, whole).filter(F.col("id").isNotNull())
+    least = F.col("component_id") == F.col("id")
+    ids = linked.groupBy("id").agg(F.count("*").alias("times"), F.max(least).alias("least"), F.max(F.col("root").isNotNull()).alias("links")).filter("least")
+    ids = stored(ids.select("id", (F.col("links") & (F.col("times") > 1)).alias("shared")), "least-ids")
+    kept = plain.join(ids.filter("not shared").select("id"), key == F.col("id"), "left_semi").unionByName(plain.filter(plain[f"_c{at}"].isNull()))
+    if not (shared := ids.filter("shared").select("id")).isEmpty():
+        mine = linked.join(shared, "id", "left_semi").filter(least).select(F.col("id").alias("of"), F.col("node").alias("own"), "root").distinct()
+        rows = plain.join(shared, key == F.col("id"), "left_semi").select(F.struct("*").alias("row"), key.alias("id"), F.col(f"_c{text_at}").cast("string").cast("binary").alias("text"))
+        rows = _with_nodes(rows, n).withColumn("order", F.struct(F.xxhash64("row.`_c%d`" % text_at), F.monotonically_increasing_id()))
+        rows = rows.join(mine, (F.col("id") == F.col("of")) & (F.col("node") == F.col("own")))
+        # map tasks choose first, so a row repeated very often is no long group
+        one = rows.filter("root is not null").groupBy("root").agg(F.min_by("row", "order").alias("row")).select("row")
+        kept = kept.unionByName(one.unionByName(rows.filter("root is null").select("row")).select("row.*"))
+    return kept.toDF(*df.columns)
+
+
+def _with_nodes(rows: DataFrame, n: int) -> DataFrame:
+    """row, id and node (digest of the text's set) of rows row, id, text."""
+
+    def make():
+        of = shingles(n).of
+
+        def each(batch: pa.RecordBatch):
+            at, data = slices(batch.column(2))
+            nodes = [digest(of(bytes(data[x:y]))) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], names=["row", "id", "node"])
+
+        return each
+
+    return arrow_map(rows, make, f"row {rows.schema['row'].dataType.simpleString()}, id bigint, node bigint", keeps=f"shingles {n}")

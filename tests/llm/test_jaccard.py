@@ -82,6 +82,15 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert kept.columns == df.columns and kept.filter("doc_id = 7").count() == 0 and kept.filter("doc_id is null").count() == 2
 
 
+def test_one_of_the_rows_that_share_an_id_stays(spark):
+    copy, near, other = "a b c d e f g h i j k l", "a b c d e f g h i j k z", "other words in this one now"
+    found = [(1, copy, "x")] * 3 + [(1, other, "x"), (1, "", "x"), (1, "", "x"), (2, near, "x"), (2, "text of its own in here", "y"), (3, other, "x"), (4, "alone with its id only", "x"), (None, copy, "x"), (None, copy, "x")]
+    df = spark.createDataFrame(found, "doc_id long, text string, node string").repartition(3)
+    kept = J.deduplicate(df, part=70)
+    want = [found[0], found[3], found[4], found[5], found[7], found[9], found[10], found[11]]
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("part", [90, 80, 50])
 def test_linked_sets_always_share_an_entry(part):
     rng, plan = np.random.default_rng(part), J.plan(part, 100)
