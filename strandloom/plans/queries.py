@@ -38,9 +38,9 @@ def target_rows(spark: SparkSession, sf_dir: str, reverse: bool = False) -> Data
 
 
 def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "benchmark").filter("text is not null")
-    rows = rows.select("item_id", encoded(F.col("text")).alias("text"), F.explode(F.array(*(F.lit(o) for o in range(0, 351, 50)))).alias("o"))
-    rows = rows.withColumn("seq", F.substr("text", F.col("o") + 1, F.lit(120))).filter(F.length("seq") > 0)
+    rows = _table(spark, sf_dir, "benchmark").filter("length(text) > 0")
+    rows = rows.select("item_id", encoded(F.col("text")).alias("text"), F.explode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(50))).alias("o"))
+    rows = rows.withColumn("seq", F.substr("text", F.col("o") + 1, F.lit(120)))
     at = (F.col("item_id") % 40).cast("int")
     changed = F.concat(F.substr("seq", F.lit(1), at), F.translate(F.substr("seq", at + 1, F.lit(1)), "ACGT", "TGCA"), F.substr("seq", at + 2, F.lit(1000)))
     name = F.concat(F.lit("@r"), F.col("item_id").cast("string"), F.lit("_"), F.col("o").cast("string"), F.lit(" tile"))

@@ -39,3 +39,10 @@ def test_letters_after_a_prefix_count(spark, tmp_path):
     assert {r["tnum"]: r["n"] for r in Q.dinuc_whole(spark, str(tmp_path)).collect()} == {0: 6, 1: 1, 2: 1}
     # bcd and c, and the five places that the other text lacks; all of 55 and the 15 places beyond
     assert {r["tnum"]: r["nmiss"] for r in Q.hamming_whole(spark, str(tmp_path)).collect()} == {0: 9, 1: 70}
+
+
+def test_reads_reach_the_end_of_a_long_item(spark, tmp_path):
+    texts = ["acgt" * 250 + "tail", "", None, "a"]
+    spark.createDataFrame([(2 * k, t) for k, t in enumerate(texts)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["name"].split()[0]: len(r["seq"]) for r in Q.raw_reads(spark, str(tmp_path)).collect()}
+    assert got == {f"@r0_{o}": min(120, 1004 - o) for o in range(0, 1004, 50)} | {"@r6_0": 1}
