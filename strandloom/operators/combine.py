@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,5 +13,6 @@ def distinct_matches(matches: DataFrame) -> DataFrame:
 
 def best_per_read(matches: DataFrame, tolerance: int = 0) -> DataFrame:
     """The matches of each read with at most ``tolerance`` mismatches more than its best one."""
-    least = F.min("nmiss").over(Window.partitionBy("seq"))
-    return matches.withColumn("least", least).filter(F.col("nmiss") <= F.col("least") + tolerance).drop("least")
+    # map tasks take minima first, so a read with very many matches is no long group
+    least = matches.groupBy("seq").agg(F.min("nmiss").alias("least"))
+    return matches.join(least, "seq").filter(F.col("nmiss") <= F.col("least") + tolerance).select(*matches.columns)

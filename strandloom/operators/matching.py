@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import allowed_mismatches, hamming
-from .windows import target_windows
+from .windows import STRIDE, target_windows
 
-#: Distinct read windows up to which they are broadcast; beyond it both sides are shuffled by key.
+#: Distinct read windows up to which they are broadcast; beyond it a filter of them is, and what passes is shuffled by key.
 BROADCAST_KEYS = 1_000_000
+#: Bits of a filter for each key, and bytes of a filter at most; bits of one bucket.
+KEY_BITS, FILTER_BYTES, BUCKET_BITS = 16, 256 << 20, 32768
 
 
 def small_enough(keys: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
@@ -17,11 +19,42 @@ def small_enough(keys: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
     return keys.limit(limit + 1).count() <= limit
 
 
+def _places(key: Column, buckets: int) -> tuple[Column, Column, Column]:
+    """The bucket of a key, and its two bits there."""
+    h = F.xxhash64(key)
+    return F.pmod(h, F.lit(buckets)), F.shiftrightunsigned(h, 49), F.shiftrightunsigned(h, 34).bitwiseAND(BUCKET_BITS - 1)
+
+
+def key_filter(keys: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """A Bloom filter of the column ``key`` as a table of bucket and words, and the number of buckets.
+
+    It has about ``KEY_BITS`` bits a key and never more than ``FILTER_BYTES``; with more keys than that holds it lets
+    more pass, and the join that follows is exact in any case.
+    """
+    buckets = max(1, min(-(-count * KEY_BITS // BUCKET_BITS), FILTER_BYTES // (BUCKET_BITS // 8)))
+    bucket, one, two = _places(F.col("key"), buckets)
+    bits = keys.select(bucket.alias("bucket"), F.explode(F.array(one, two)).alias("bit")).groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
+    word = lambda i: F.conv(F.hex(F.substring("bits", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    return bits.select("bucket", F.transform(F.sequence(F.lit(0), F.lit(BUCKET_BITS // 64 - 1)), word).alias("words")), buckets
+
+
+def passed(rows: DataFrame, bits: DataFrame, buckets: int) -> DataFrame:
+    """The rows whose ``key`` the filter knows, and a few more: a lookup by bucket in a broadcast of bounded size."""
+    bucket, one, two = _places(F.col("key"), buckets)
+    # a bitmap has the low bits of a byte first, a word the first byte highest
+    known = lambda p: F.getbit(F.get("words", F.shiftright(p, 6).cast("int")), p.bitwiseAND(63).bitwiseXOR(56).cast("int")) == 1
+    joined = rows.withColumn("bucket", bucket).join(F.broadcast(bits), "bucket")
+    return joined.filter(known(one) & known(two)).select(*rows.columns)
+
+
 def candidates(cut: DataFrame, windows: DataFrame, width: int, limit: int = BROADCAST_KEYS) -> DataFrame:
     """tnum, p, key of the target windows that some read window equals."""
-    keys = windows.select("key").distinct()
-    keys = F.broadcast(keys) if small_enough(keys, limit) else keys
-    return target_windows(cut, width).join(keys, "key", "left_semi").select("tnum", "p", "key")
+    keys, found = windows.select("key").distinct(), target_windows(cut, width)
+    if small_enough(keys, limit):
+        keys = F.broadcast(keys)
+    else:
+        found = passed(found, *key_filter(keys, keys.agg(F.approx_count_distinct("key")).first()[0]))
+    return found.join(keys, "key", "left_semi").select("tnum", "p", "key")
 
 
 def window_pairs(found: DataFrame, windows: DataFrame) -> DataFrame:
@@ -29,22 +62,24 @@ def window_pairs(found: DataFrame, windows: DataFrame) -> DataFrame:
     return found.join(windows, "key").filter(F.col("p") >= F.col("q")).select("k", "q", "key", "seq", "tnum", "p")
 
 
-def verified(pairs: DataFrame, targets: DataFrame, share: float, width: int, compat: bool = False) -> DataFrame:
+def verified(pairs: DataFrame, cut: DataFrame, share: float, width: int, compat: bool = False) -> DataFrame:
     """The pairs whose read lies in its target and differs in no more places than allowed: + tseq, pos, nmiss.
 
-    ``compat`` keeps a limit of the original: a window that starts at the read's first letter and the target's first
-    offset sees 100 letters of the target at most.
+    ``cut`` are tiles that hold the longest read (see ``windows.tiles``): a pair is joined to the tile in which its
+    read begins, never to a whole target. ``compat`` keeps a limit of the original: a window that starts at the read's
+    first letter and the target's first offset sees 100 letters of the target at most.
     """
-    pos, length = F.col("p") - F.col("q"), F.length("seq")
-    joined = pairs.join(targets.select("tnum", F.col("seq").alias("target"), "tlen"), "tnum").filter(pos + length <= F.col("tlen"))
+    length, at = F.length("seq"), F.col("pos") - F.col("start")
+    rows = pairs.withColumn("pos", (F.col("p") - F.col("q")).cast("int"))
+    rows = rows.withColumn("start", (F.col("pos") - F.col("pos") % STRIDE).cast("int"))
     if compat:
-        joined = joined.filter((F.col("q") > 0) | (F.col("p") > 0) | (length <= 100))
-    rows = joined.withColumn("pos", pos.cast("int")).withColumn("tseq", F.substr("target", F.col("pos") + 1, length))
-    rows = rows.withColumn("nmiss", hamming(F.col("seq"), F.col("tseq")))
-    if compat:  # the scan order has the whole right side of the target
-        right = F.substr("target", F.col("p") + width + 1, F.lit(1 << 30))
-        rows = rows.withColumn("tail", right)
-    return rows.filter(F.col("nmiss") <= allowed_mismatches(length, share)).drop("target", "tlen")
+        rows = rows.filter((F.col("q") > 0) | (F.col("p") > 0) | (length <= 100))
+    joined = rows.join(cut, ["tnum", "start"]).withColumn("tseq", F.substr("tile", at + 1, length))
+    # a read that runs past the target's end gets fewer letters
+    joined = joined.filter(F.length("tseq") == length).withColumn("nmiss", hamming(F.col("seq"), F.col("tseq")))
+    if compat:  # the scan order has the target's right side as far as the longest read reaches
+        joined = joined.withColumn("tail", F.substr("tile", at + F.col("q") + width + 1, F.lit(1 << 30)))
+    return joined.filter(F.col("nmiss") <= allowed_mismatches(length, share)).drop("start", "tile")
 
 
 def limited(matches: DataFrame, mode: str, most: int, width: int, max_read_length: int = 300, compat: bool = False) -> DataFrame:

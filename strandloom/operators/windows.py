@@ -35,19 +35,25 @@ def window_counts(reads: DataFrame, starts: Sequence[int], width: int, strict: b
     return counts
 
 
-def tiles(targets: DataFrame, width: int) -> DataFrame:
-    """tnum, start, tile: stretches in which each window of a target begins exactly once.
+def tiles(targets: DataFrame, width: int, longest: int = 0) -> DataFrame:
+    """tnum, start, tile: stretches in which each window of a target begins exactly once, with all of any read of at
+    most ``longest`` letters that begins there.
 
-    Offsets in a long text cost time in proportion, so windows are cut from tiles; targets shorter than a window have none.
+    Offsets in a long text cost time in proportion, so a target is cut once, from left to right, and windows and reads
+    are looked up in tiles only; targets shorter than a window have none.
     """
-    rows = targets.filter(F.length("seq") >= width)
-    rows = rows.select("tnum", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - width, F.lit(STRIDE))).alias("start"))
-    return rows.select("tnum", "start", F.substr("seq", F.col("start") + 1, F.lit(STRIDE + width - 1)).alias("tile"))
+    more = max(width, longest) - 1
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{STRIDE}}}"), F.lit(0))
+    each = F.transform("pieces", lambda _, i: F.substring(F.array_join(F.slice("pieces", i + 1, F.lit(2 + more // STRIDE)), ""), 1, STRIDE + more))
+    rows = targets.filter(F.length("seq") >= width).select("tnum", pieces.alias("pieces"))
+    rows = rows.select("tnum", F.posexplode(each).alias("i", "tile")).filter(F.length("tile") >= width)
+    return rows.select("tnum", (F.col("i") * STRIDE).alias("start"), "tile")
 
 
 def target_windows(cut: DataFrame, width: int) -> DataFrame:
     """tnum, p, key of every window of the tiles."""
-    rows = cut.select("tnum", "start", "tile", F.explode(F.sequence(F.lit(0), F.length("tile") - width)).alias("i"))
+    last = F.least(F.length("tile") - width, F.lit(STRIDE - 1))
+    rows = cut.select("tnum", "start", "tile", F.explode(F.sequence(F.lit(0), last)).alias("i"))
     return rows.select("tnum", (F.col("start") + F.col("i")).alias("p"), F.substr("tile", F.col("i") + 1, F.lit(width)).alias("key"))
 
 

@@ -14,6 +14,8 @@ from ..sources import files
 from .config import MatchConfig
 from .staging import staged, work_dir
 
+#: Letters of the targets that a task looks for windows in.
+TASK_LETTERS = 8 << 20
 STAGES = ("reads", "windows", "sorted windows", "candidates", "sorted candidates", "matches", "best", "sorted best", "named", "result", "nonmatch")
 
 
@@ -48,14 +50,23 @@ class Run:
         c = self.config
         return self._stage("windows", lambda: windows.read_windows(self.reads(), c.Windows, c.WindowWidth, c.MinDinuc))
 
+    def tiles(self) -> DataFrame:
+        """The targets in tiles, dealt evenly: one target may be longer than all others together."""
+        if "tiles" not in self.done:
+            c = self.config
+            letters = self.targets.agg(F.sum("tlen")).first()[0] or 0
+            parts = max(self.spark.sparkContext.defaultParallelism, -(-letters // TASK_LETTERS))
+            self.done["tiles"] = staged(windows.tiles(self.targets, c.WindowWidth, c.MaxReadLength).repartition(parts, "tnum", "start"), f"{self.dir}/tiles")
+        return self.done["tiles"]
+
     def candidates(self) -> DataFrame:
         c = self.config
-        return self._stage("candidates", lambda: matching.candidates(windows.tiles(self.targets, c.WindowWidth), self.windows(), c.WindowWidth))
+        return self._stage("candidates", lambda: matching.candidates(self.tiles(), self.windows(), c.WindowWidth))
 
     def all_matches(self) -> DataFrame:
         """Verified matches before the limit on matches of a window."""
         pairs = matching.window_pairs(self.candidates(), self.windows())
-        return matching.verified(pairs, self.targets, self.config.PMatch, self.config.WindowWidth, self.compat)
+        return matching.verified(pairs, self.tiles(), self.config.PMatch, self.config.WindowWidth, self.compat)
 
     def matches(self) -> DataFrame:
         c = self.config
@@ -83,11 +94,13 @@ class Run:
 
 
 def match_files(spark: SparkSession, config: MatchConfig, start: int = 0, compat: bool = False) -> Run:
-    """A run over files: results and non-matching reads are written where the configuration says."""
+    """A run over files: results and non-matching reads are written where the configuration says, the settings as they
+    were resolved and the run's figures to ``config`` and ``log`` in the work folder."""
     config = config.checked()
-    sequences = spark.read.parquet(config.GeneFileName)
-    ids = spark.read.parquet(config.GeneIdFileName).select("tnum", "name", "tlen")
-    run = Run(spark, config, files.read_fastq(spark, config.ReadFileName), sequences.join(ids, "tnum"), start, compat)
+    run = Run(spark, config, files.read_fastq(spark, config.ReadFileName), files.read_prepared(spark, config.GeneFileName, config.GeneIdFileName), start, compat)
+    spark.createDataFrame([(config.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{run.dir}/config")
     files.write_result(run.result(), config.ResultsFileName)
     files.write_nonmatch(run.nonmatch(), files.nonmatch_path(config.ResultsFileName))
+    log = run.metrics().select(F.concat_ws(": ", "metric", F.col("value").cast("string")).alias("value"))
+    log.union(spark.createDataFrame([("All done, exiting",)], "value string")).coalesce(1).write.mode("overwrite").text(f"{run.dir}/log")
     return run

@@ -2,7 +2,8 @@
 
 Nothing there is biological, so text is put into the alphabet: letters become A, C, G and T in turn, all else X.
 Targets are ``documents``; reads are stretches of ``benchmark``, whose passages occur in them, those of odd items with
-one letter exchanged.
+one letter exchanged, some of them repeated, a few very often. Matching has variants of a third of the targets beside
+them, with a letter exchanged here and there, so that limits and tolerances leave something out.
 """
 
 from __future__ import annotations
@@ -14,13 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
-from ..operators import combine, matching, reads, results, targets, windows
+from ..operators import combine, reads, results, targets, windows
+from ..sources import files
 from .config import MatchConfig
 from .pipeline import Run
+from .staging import staged, work_dir
 
 _CYCLE = ("ACGT" * 13)[:52]
-WIDTH, STARTS, SHARE, LEAST, MOST, DINUC, MATCHES, TOLERANCE = 20, (0, 15, 30, 45), 0.9, 60, 100, 6, 3, 1
+WIDTH, STARTS, SHARE, LEAST, MOST, DINUC, MATCHES, TOLERANCE = 20, (0, 15, 30, 45), 0.9, 60, 100, 6, 3, 0
 CONFIG = MatchConfig(Windows=STARTS, WindowWidth=WIDTH, PMatch=SHARE, MinReadLength=LEAST, MaxReadLength=MOST, MinDinuc=DINUC, MaxMatches=MATCHES, MMTol=TOLERANCE, MatchMode="best", BloomSize=4_000_000, NumHash=20)
+#: What the number of a target's variant is higher by.
+VARIANT = 1_000_000_000_000
 
 
 def encoded(text: Column) -> Column:
@@ -37,27 +42,33 @@ def target_rows(spark: SparkSession, sf_dir: str, reverse: bool = False) -> Data
     return targets.prepare_targets(rows, reverse)
 
 
+def match_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets, and a variant of every third one."""
+    rows = target_rows(spark, sf_dir)
+    other = rows.filter("tnum % 3 = 0").select((F.col("tnum") + VARIANT).alias("tnum"), (F.col("id_num") + VARIANT).alias("id_num"), F.concat("name", F.lit("v")).alias("name"), F.replace("seq", F.lit("GCT"), F.lit("GAT")).alias("seq"), "tlen")
+    return rows.unionByName(other)
+
+
 def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "benchmark").filter("length(text) > 0")
     rows = rows.select("item_id", encoded(F.col("text")).alias("text"), F.explode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(50))).alias("o"))
-    rows = rows.withColumn("seq", F.substr("text", F.col("o") + 1, F.lit(120)))
+    times = F.when((F.col("item_id") % 20 == 0) & (F.col("o") == 0), 200).when(F.col("item_id") % 3 == 0, 2).otherwise(1)
+    rows = rows.withColumn("seq", F.substr("text", F.col("o") + 1, F.lit(120))).withColumn("i", F.explode(F.sequence(F.lit(1), times)))
     at = (F.col("item_id") % 40).cast("int")
     changed = F.concat(F.substr("seq", F.lit(1), at), F.translate(F.substr("seq", at + 1, F.lit(1)), "ACGT", "TGCA"), F.substr("seq", at + 2, F.lit(1000)))
-    name = F.concat(F.lit("@r"), F.col("item_id").cast("string"), F.lit("_"), F.col("o").cast("string"), F.lit(" tile"))
+    name = F.concat(F.lit("@r"), F.col("item_id").cast("string"), F.lit("_"), F.col("o").cast("string"), F.lit("_"), F.col("i").cast("string"), F.lit(" tile"))
     return rows.select(name.alias("name"), F.when(F.col("item_id") % 2 == 1, changed).otherwise(F.col("seq")).alias("seq"))
 
 
 def a_run(spark: SparkSession, sf_dir: str, **other) -> Run:
     run = Run(spark, CONFIG.overridden(**other), raw_reads(spark, sf_dir), None)
     # encoded once: else each window of a target would encode it anew
-    from .staging import staged
-
-    run.targets = staged(target_rows(spark, sf_dir), f"{run.dir}/targets")
+    run.targets = staged(match_targets(spark, sf_dir), f"{run.dir}/targets")
     return run
 
 
 def _found(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    return a_run(spark, sf_dir, MatchMode=mode, MaxMatches=2).matches().select("k", "q", "key", "seq", "tseq", "pos", "nmiss", "tnum")
+    return a_run(spark, sf_dir, MatchMode=mode, MaxMatches=1).matches().select("k", "q", "key", "seq", "tseq", "pos", "nmiss", "tnum")
 
 
 def subx(spark, sf_dir):
@@ -69,20 +80,10 @@ def revcomp(spark, sf_dir):
 
 
 def dinuc(spark, sf_dir):
-    return target_rows(spark, sf_dir).select("tnum", S.dinucleotides(F.substring("seq", 1, 12)).alias("n"))
-
-
-def hamming(spark, sf_dir):
-    one = target_rows(spark, sf_dir).select("tnum", F.rpad(F.substring("seq", 1, 50), 50, "X").alias("a"))
-    two = one.select((F.col("tnum") - 1).alias("tnum"), F.col("a").alias("b"))
-    return one.join(two, "tnum").select("tnum", S.hamming(F.col("a"), F.col("b")).alias("nmiss"))
-
-
-def dinuc_whole(spark, sf_dir):
     return target_rows(spark, sf_dir).select("tnum", S.dinucleotides(F.col("seq")).alias("n"))
 
 
-def hamming_whole(spark, sf_dir):
+def hamming(spark, sf_dir):
     """Each text against the next one, the shorter padded with X to the length of the longer."""
     one = target_rows(spark, sf_dir).select("tnum", F.col("seq").alias("a"))
     two = one.select((F.col("tnum") - 1).alias("tnum"), F.col("a").alias("b"))
@@ -192,8 +193,46 @@ def verify_targets(spark, sf_dir):
     return results.verified_targets(run.best(), run.targets)
 
 
+def fastq_scan(spark, sf_dir):
+    """The reads, written as a FASTQ file and read again."""
+    path = f"{work_dir(spark)}/reads.fastq"
+    raw_reads(spark, sf_dir).select(F.concat_ws("\n", "name", "seq", F.lit("+"), F.repeat(F.lit("!"), F.length("seq"))).alias("value")).write.text(path)
+    return files.read_fastq(spark, path)
+
+
+def _target_file(spark, sf_dir, end: str, line: Column) -> DataFrame:
+    """The texts, written as one target file in the order of their ids, read again and prepared: a file has one order."""
+    path = f"{work_dir(spark)}/genes.{end}"
+    rows = target_rows(spark, sf_dir).filter("tlen > 0").repartitionByRange(1, "tnum").sortWithinPartitions("tnum")
+    rows.select(line.alias("value")).write.text(path)
+    return targets.prepare_targets(files.read_targets(spark, path), reverse=True, by_line=not files.is_fasta(path)).select(S.padded_number(F.col("id_num")).alias("id_num"), "tnum", "name", "seq", "tlen")
+
+
+def fasta_scan(spark, sf_dir):
+    lines = F.concat_ws("\n", F.concat(F.lit(">"), "name"), F.substring("seq", 1, 60), F.substr("seq", F.lit(61), F.greatest(F.length("seq") - 60, F.lit(0))))
+    return _target_file(spark, sf_dir, "fasta", lines)
+
+
+def text_scan(spark, sf_dir):
+    return _target_file(spark, sf_dir, "txt", F.concat_ws("\t", "name", "seq"))
+
+
+def result_lines(spark, sf_dir):
+    """The lines of a written result."""
+    path = f"{work_dir(spark)}/result.txt"
+    files.write_result(result(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def nonmatch_lines(spark, sf_dir):
+    """The records of a written file of reads without a match."""
+    path = f"{work_dir(spark)}/result.nonmatch.txt.fastq"
+    files.write_nonmatch(nonmatch(spark, sf_dir), path)
+    return files.read_fastq(spark, path)
+
+
 _NAMES = (
-    "subx", "revcomp", "dinuc", "hamming", "dinuc_whole", "hamming_whole", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "kmer_candidates",
+    "fastq_scan", "fasta_scan", "text_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "kmer_candidates",
     "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets",
 )
 
@@ -215,8 +254,11 @@ def _varied(seq: str) -> str:
 
 
 _TARGETS = f"t AS (SELECT doc_id AS tnum, 'doc' || doc_id AS name, {_encoded('text')} AS seq, length(text)::INT AS tlen FROM documents WHERE text IS NOT NULL)"
-_RAW = f"""b AS (SELECT item_id, unnest(range(0, 351, 50)) AS o, {_encoded('text')} AS text FROM benchmark WHERE text IS NOT NULL),
-c AS (SELECT item_id, (item_id % 40)::INT AS place, '@r' || item_id || '_' || o || ' tile' AS name, substr(text, o + 1, 120) AS seq FROM b WHERE length(text) > o),
+_MATCH_TARGETS = f"""{_TARGETS.replace('t AS', 'plain AS', 1)},
+t AS (SELECT * FROM plain UNION ALL SELECT tnum + {VARIANT}, name || 'v', replace(seq, 'GCT', 'GAT'), tlen FROM plain WHERE tnum % 3 = 0)"""
+_RAW = f"""b AS (SELECT item_id, unnest(range(0, length(text), 50)) AS o, {_encoded('text')} AS text FROM benchmark WHERE length(text) > 0),
+copies AS (SELECT item_id, o, text, unnest(range(1, CASE WHEN item_id % 20 = 0 AND o = 0 THEN 201 WHEN item_id % 3 = 0 THEN 3 ELSE 2 END)) AS i FROM b),
+c AS (SELECT item_id, (item_id % 40)::INT AS place, '@r' || item_id || '_' || o || '_' || i || ' tile' AS name, substr(text, o + 1, 120) AS seq FROM copies),
 raw AS (SELECT name, CASE WHEN item_id % 2 = 1 THEN substr(seq, 1, place) || translate(substr(seq, place + 1, 1), 'ACGT', 'TGCA') || substr(seq, place + 2) ELSE seq END AS seq FROM c)"""
 _PREPARED = f"{_RAW},\nprepared AS (SELECT substr(seq, 1, {MOST}) AS seq, name FROM raw WHERE length(seq) >= {LEAST})"
 _READS = f"""{_PREPARED},
@@ -225,7 +267,7 @@ reads AS (SELECT seq, n, {_short('names')} AS names FROM joined)"""
 _WINDOWS = f"""{_READS},
 starts AS (SELECT * FROM (VALUES {', '.join(f'({k}, {q})' for k, q in enumerate(STARTS))}) AS s(k, q)),
 win AS (SELECT k, q, substr(seq, q + 1, {WIDTH}) AS key, seq FROM reads, starts WHERE length(seq) >= q + {WIDTH} AND {_varied(f'substr(seq, q + 1, {WIDTH})')} >= {DINUC})"""
-_CANDIDATES = f"""{_TARGETS},
+_CANDIDATES = f"""{_MATCH_TARGETS},
 {_WINDOWS},
 tiles AS (SELECT tnum, s, substr(seq, s + 1, {windows.STRIDE + WIDTH - 1}) AS tile FROM (SELECT tnum, seq, unnest(range(0, tlen - {WIDTH} + 1, {windows.STRIDE})) AS s FROM t WHERE tlen >= {WIDTH})),
 kmers AS (SELECT tnum, s + i AS p, substr(tile, i + 1, {WIDTH}) AS key FROM (SELECT tnum, s, tile, unnest(range(0, length(tile) - {WIDTH} + 1)) AS i FROM tiles)),
@@ -250,13 +292,19 @@ result AS (SELECT named.*, n, names FROM named JOIN reads USING (seq))"""
 
 def oracle_sql() -> dict[str, str]:
     matched = "SELECT k, q, key, seq, tseq, pos, nmiss, tnum FROM matches"
+    both = "SELECT {0} AS id_num, 2 * {1} AS tnum, {2} || name AS name, seq, tlen FROM f UNION ALL SELECT {3}, 2 * {1} + 1, {2} || name || '_r', translate(reverse(seq), 'ACGT', 'TGCA'), tlen FROM f"
+    filed = f"WITH {_TARGETS}, f AS (SELECT row_number() OVER (ORDER BY tnum) - 1 AS number, name, seq, tlen FROM t WHERE tlen > 0)"
+    padded = "lpad(({0})::VARCHAR, 11, '0')".format
     return {
+        "fastq_scan": f"WITH {_RAW} SELECT name, seq FROM raw",
+        "fasta_scan": f"{filed} {both.format(padded('2 * number'), 'number', chr(39) + '>' + chr(39), padded('2 * number + 1'))}",
+        "text_scan": f"{filed} {both.format(padded('number'), 'number', chr(39) * 2, padded('number'))}",
+        "result_lines": f"WITH {_BEST} SELECT concat_ws(chr(9), seq, tseq, pos, nmiss, name, tlen, n, names) AS line FROM result",
+        "nonmatch_lines": f"WITH {_BEST} SELECT names AS name, seq FROM reads WHERE seq NOT IN (SELECT seq FROM result)",
         "subx": "SELECT doc_id, regexp_replace(text, '[^ACGT]', 'X', 'g') AS seq FROM documents",
         "revcomp": f"WITH {_TARGETS} SELECT tnum, translate(reverse(seq), 'ACGT', 'TGCA') AS seq FROM t",
-        "dinuc": f"WITH {_TARGETS} SELECT tnum, {_varied('substr(seq, 1, 12)')}::INT AS n FROM t",
-        "hamming": f"WITH {_TARGETS}, a AS (SELECT tnum, rpad(substr(seq, 1, 50), 50, 'X') AS a FROM t) SELECT x.tnum, hamming(x.a, y.a)::INT AS nmiss FROM a x JOIN a y ON y.tnum = x.tnum + 1",
-        "dinuc_whole": f"WITH {_TARGETS} SELECT tnum, {_varied('seq')}::INT AS n FROM t",
-        "hamming_whole": f"WITH {_TARGETS}, a AS (SELECT x.tnum, x.seq AS a, y.seq AS b, greatest(length(x.seq), length(y.seq))::INT AS n FROM t x JOIN t y ON y.tnum = x.tnum + 1) SELECT tnum, hamming(rpad(a, n, 'X'), rpad(b, n, 'X'))::INT AS nmiss FROM a",
+        "dinuc": f"WITH {_TARGETS} SELECT tnum, {_varied('seq')}::INT AS n FROM t",
+        "hamming": f"WITH {_TARGETS}, a AS (SELECT x.tnum, x.seq AS a, y.seq AS b, greatest(length(x.seq), length(y.seq))::INT AS n FROM t x JOIN t y ON y.tnum = x.tnum + 1) SELECT tnum, hamming(rpad(a, n, 'X'), rpad(b, n, 'X'))::INT AS nmiss FROM a",
         "allowed": f"WITH {_TARGETS} SELECT tnum, trunc((1.0::DOUBLE - {SHARE}::DOUBLE) * tlen)::INT AS allowed FROM t",
         "shortened_names": f"SELECT doc_id, {_short('text')} AS name, regexp_extract(text, '^\\s*(\\S+)', 1) AS first FROM documents",
         "prep_targets": f"WITH {_TARGETS} SELECT lpad(tnum::VARCHAR, 11, '0') AS id_num, name, seq, tlen FROM t",
@@ -269,8 +317,8 @@ def oracle_sql() -> dict[str, str]:
         "bloom_fill": f"WITH {_WINDOWS} SELECT k, count(DISTINCT key) AS n_keys, round(1 - exp(-{CONFIG.NumHash}.0 * count(DISTINCT key) / {CONFIG.BloomSize}.0), 9) AS fill FROM win GROUP BY k",
         "kmer_candidates": f"WITH {_CANDIDATES} SELECT tnum, p, key FROM cand",
         "verified_matches": f"WITH {_ALL} SELECT k, q, key, seq, tnum, pos, tseq, nmiss FROM every",
-        "topk_first": f"WITH {_limited('first', 2)} {matched}",
-        "topk_best": f"WITH {_limited('best', 2)} {matched}",
+        "topk_first": f"WITH {_limited('first', 1)} {matched}",
+        "topk_best": f"WITH {_limited('best', 1)} {matched}",
         "distinct_matches": f"WITH {_ALL} SELECT DISTINCT seq, tseq, pos, nmiss, tnum FROM every",
         "best_per_read": f"WITH {_BEST} SELECT * FROM best",
         "target_names": f"WITH {_BEST} SELECT * FROM named",

@@ -7,15 +7,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or the warehouse where that is not set.
+
+    On a cluster a warehouse on local disks would be another folder on each machine, so it is an error there.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = base.startswith("file:") or "://" not in base and spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return base.rstrip("/")
+
+
 def work_dir(spark: SparkSession, given: str = "") -> str:
-    """The given folder, or a new one under spark.checkpoint.dir (the warehouse, where that is not set, as in tests).
+    """The given folder, or a new one in the shared folder.
 
     A generated folder goes when the application ends.
     """
     if given:
         return given.rstrip("/")
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/strandloom-{uuid.uuid4().hex}"
+    path = f"{shared(spark)}/strandloom-{uuid.uuid4().hex}"
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return path

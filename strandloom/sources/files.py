@@ -13,15 +13,20 @@ def numbered(df: DataFrame, keep: Column | None = None) -> DataFrame:
     """Rows of a text scan with ``file`` and ``number``: their place among the file's (kept) rows, from 0.
 
     A split knows its offset in the file and reads in order, so places are counted within splits, and the splits'
-    totals, one row each, give where each begins. Nothing depends on how splits are dealt to tasks.
+    totals, one row each, give where each begins. Nothing depends on how splits are dealt to tasks. Without ``keep``
+    the rows themselves stay where they are: only the totals are joined to them.
     """
     rows = df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     if keep is not None:
         rows = rows.filter(keep)
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1)
-    totals = rows.groupBy("file", "block").agg(F.count("*").alias("n"))
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1)
+        totals = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("first"))
+    else:  # ids of a task's rows are consecutive
+        rows = rows.withColumn("place", F.col("at"))
+        totals = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    totals = totals.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).drop("n", "first")
+    # the number of splits is bounded by the scan's tasks, so this side is small; sizes decide how it is joined
     return rows.join(totals, ["file", "block"]).withColumn("number", F.col("start") + F.col("place")).drop("block", "at", "place", "start")
 
 
@@ -84,10 +89,14 @@ def framed_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """name (the whole header line) and seq of four-line records; an incomplete last record is left out."""
-    line = F.col("number") % 4
-    records = lines(spark, path).filter(line < 4).groupBy("file", F.floor(F.col("number") / 4).alias("record"))
-    return records.agg(F.max(F.when(line == 0, F.col("value"))).alias("name"), F.max(F.when(line == 1, F.col("value"))).alias("seq"), F.count("*").alias("n")).filter("n = 4").select("name", "seq")
+    """name (the whole header line) and seq of four-line records; an incomplete last record is left out.
+
+    Only headers and sequences are dealt by record, with a mark of the last line for the record's completeness.
+    """
+    line = (F.col("number") % 4).cast("int")
+    rows = lines(spark, path).select("file", F.floor(F.col("number") / 4).alias("record"), line.alias("line"), F.when(line < 2, F.col("value")).alias("value")).filter("line <> 2")
+    records = rows.groupBy("file", "record").agg(F.max(F.when(F.col("line") == 0, F.col("value"))).alias("name"), F.max(F.when(F.col("line") == 1, F.col("value"))).alias("seq"), F.max("line").alias("last"))
+    return records.filter("last = 3").select("name", "seq")
 
 
 def is_fasta(path: str) -> bool:
@@ -125,9 +134,13 @@ def in_line_order(result: DataFrame) -> DataFrame:
     return result.orderBy(*(F.col(c).cast("string") for c in RESULT_ORDER))
 
 
-def write_result(result: DataFrame, path: str) -> None:
-    """The eight columns, tab-separated without header, in line order, one file; replaces what was there."""
-    in_line_order(result.select(*RESULT_ORDER)).coalesce(1).write.mode("overwrite").csv(path, sep="\t", quote="", escape="", emptyValue="")
+def write_result(result: DataFrame, path: str, single: bool = False) -> None:
+    """The eight columns, tab-separated without header, in line order; replaces what was there.
+
+    Parts hold ranges, so in the order of their names they are the sorted result; ``single`` makes one file of it.
+    """
+    rows = in_line_order(result.select(*RESULT_ORDER))
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, sep="\t", quote="", escape="", emptyValue="")
 
 
 def nonmatch_path(path: str) -> str:
@@ -136,10 +149,11 @@ def nonmatch_path(path: str) -> str:
     return f"{stem}.nonmatch.{end}.fastq" if dot and "/" not in end else f"{path}.nonmatch.fastq"
 
 
-def write_nonmatch(nonmatch: DataFrame, path: str) -> None:
-    """names, seq and a quality of ! for each letter, as four-line records in the order of sequences."""
+def write_nonmatch(nonmatch: DataFrame, path: str, single: bool = False) -> None:
+    """names, seq and a quality of ! for each letter, as four-line records in the order of sequences; see ``write_result``."""
     record = F.concat_ws("\n", "names", "seq", F.lit("+"), F.col("qual"))
-    nonmatch.orderBy("seq").select(record.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    rows = nonmatch.orderBy("seq").select(record.alias("value"))
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").text(path)
 
 
 def target_paths(path: str) -> tuple[str, str]:
@@ -155,3 +169,14 @@ def write_targets(targets: DataFrame, path: str) -> tuple[str, str]:
     targets.select("tnum", "seq").write.mode("overwrite").parquet(sequences)
     targets.select("tnum", "id_num", "name", "tlen").write.mode("overwrite").parquet(ids)
     return sequences, ids
+
+
+def read_prepared(spark: SparkSession, sequences: str, ids: str) -> DataFrame:
+    """tnum, name, seq and tlen of prepared targets: the two Parquet tables, or two text files (framed, if they end in
+    .sz) whose lines belong together by their place: a sequence, and number, name and length."""
+    if sequences.rstrip("/").endswith(".parquet"):
+        return spark.read.parquet(sequences).join(spark.read.parquet(ids).select("tnum", "name", "tlen"), "tnum")
+    fields = F.split("value", "\t", -1)
+    seqs = lines(spark, sequences).select(F.col("number").alias("tnum"), fields[0].alias("seq"))
+    names = lines(spark, ids).select(F.col("number").alias("tnum"), fields[1].alias("name"))
+    return seqs.join(names, "tnum").withColumn("tlen", F.length("seq"))

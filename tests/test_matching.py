@@ -163,6 +163,44 @@ def test_a_large_window_table_is_joined_without_broadcast(spark):
     assert sorted(matching.candidates(cut, run.windows(), 4, limit=0).collect()) == sorted(matching.candidates(cut, run.windows(), 4).collect())
 
 
+def test_the_filter_of_a_large_window_table(spark):
+    from strandloom.operators import matching
+
+    keys = spark.range(3000).select(F.sha1(F.col("id").cast("string")).alias("key"))
+    bits, buckets = matching.key_filter(keys, 3000)
+    rows = spark.range(40000).select(F.sha1(F.col("id").cast("string")).alias("key"))
+    got = matching.passed(rows, bits, buckets)
+    assert got.join(keys, "key", "left_semi").count() == 3000  # none is lost
+    assert got.count() < 3000 + 0.05 * 37000
+    run = a_run(spark, READS, GENES)
+    plan = matching.candidates(run.tiles(), run.windows(), 4, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "getbit" in plan.lower()
+    assert matching.key_filter(keys.limit(0), 0)[1] == 1 and matching.passed(rows, *matching.key_filter(keys.limit(0), 0)).count() == 0
+
+
+def test_tiles_hold_reads_and_windows_of_any_length(spark):
+    rng = random.Random(3)
+    rows = [(f"g{k}", "".join(rng.choice("ACGT") for _ in range(n))) for k, n in enumerate([3, 255, 256, 257, 511, 512, 513, 2000])]
+    for width, longest in ((4, 0), (4, 300), (300, 700)):
+        cut = windows.tiles(target_table(spark, rows), width, longest)
+        got = sorted((r["tnum"], r["p"], r["key"]) for r in windows.target_windows(cut, width).collect())
+        assert got == sorted((k, p, s[p : p + width]) for k, (_, s) in enumerate(rows) for p in range(len(s) - width + 1))
+        assert all(r["tile"] == rows[r["tnum"]][1][r["start"] : r["start"] + windows.STRIDE + max(width, longest) - 1] for r in cut.collect())
+
+
+def test_prepared_targets_in_framed_text(spark, tmp_path):
+    from strandloom.sources import files
+
+    (tmp_path / "genes.txt.sz").write_bytes(files.framed("".join(f"{s}\n" for _, s in GENES).encode()))
+    (tmp_path / "genes_ids.txt.sz").write_bytes(files.framed("".join(f"{k:011d}\t{n}\t{len(s)}\n" for k, (n, s) in enumerate(GENES)).encode()))
+    (tmp_path / "reads.fastq").write_text("".join(f"{n}\n{s}\n+\n{'!' * len(s)}\n" for n, s in READS))
+    config = MatchConfig(str(tmp_path / "reads.fastq"), str(tmp_path / "genes.txt.sz"), str(tmp_path / "genes_ids.txt.sz"), str(tmp_path / "out"), (0, 5), 4, 1000, 5, 1.0, 1, str(tmp_path / "work"), 0, 300, 1000, 3, 1, "best")
+    run = pipeline.match_files(spark, config)
+    assert sorted((r["seq"], r["pos"], r["name"]) for r in run.result().collect()) == [("AGTTCAGCCA", 10, "gene7"), ("CGGCTTACGG", 0, "gene5"), ("GTAGGATATC", 10, "gene3")]
+    assert spark.read.text(str(tmp_path / "work/log")).filter("value = 'All done, exiting'").count() == 1
+    assert MatchConfig.from_json("\n".join(r[0] for r in spark.read.text(str(tmp_path / "work/config")).collect())) == config
+
+
 def test_config():
     config = MatchConfig.from_json('{"readfilename": "a", "windows": [1, 2], "other": 3}', Windows="0,5", PMatch=0)
     assert config.ReadFileName == "a" and config.Windows == (0, 5)
