@@ -3,7 +3,8 @@ product-quantised, asymmetric distance tables, and exact reranking.
 
 Equal vectors are one entry that carries the smallest ids of its rows, as many as a result can hold and one more, so
 a very common vector is one row of one list. Centroids and codebooks are fitted on a bounded sample; every entry is
-indexed. Lists are cut into blocks, and each query goes to the blocks of the lists it probes.
+indexed. Lists are cut into blocks, as are the queries that probe one, and only codes meet queries there. A query
+keeps one bounded list of the nearest by code distance over all the lists it probes; vectors are joined to these alone.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, ship, stored
+from .common import pick, place, ship, stored
 
-#: Vectors that centroids and codebooks are fitted on; codewords a part; entries of a block; queries scored at a time.
-SAMPLE, WORDS, BLOCK, QUERIES = 20_000, 256, 4096, 256
+#: Vectors that centroids and codebooks are fitted on; codewords a part; entries and queries of a block; queries scored
+#: at a time; coded sample vectors that tell a query what score the nearest may have.
+SAMPLE, WORDS, BLOCK, QUERY_BLOCK, QUERIES, GAUGE = 20_000, 256, 4096, 4096, 128, 8192
 
 
 def _means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -86,16 +88,24 @@ class Coder:
         return out
 
 
+    def by_codes(self, q: np.ndarray, coarse: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Scores of coded entries for queries: those of the centroids, and by the tables those of the residuals."""
+        tables, out = self.tables(q), coarse.astype(np.float32)
+        for p in range(codes.shape[1]):
+            out += tables[:, p][:, codes[:, p]]
+        return out
+
+
 def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float32) if len(column) else np.zeros((0, 1), np.float32)
 
 
-def _usable(rows: DataFrame) -> DataFrame:
+def _usable(rows: DataFrame, kind: str) -> DataFrame:
     e = F.col("e")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     rows = rows.filter(e.isNotNull() & F.col("id").isNotNull()).filter(F.coalesce(finite, F.lit(False)) & F.exists(e, lambda x: x != 0))
     # one zero, so that equal vectors have equal keys
-    rows = rows.withColumn("e", F.transform("e", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x).cast("float")))
+    rows = rows.withColumn("e", F.transform("e", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x).cast(kind)))
     sizes = rows.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.filter(F.size("e") == (sizes[0] if sizes else 0)).withColumn("h", F.xxhash64("e"))
 
@@ -105,15 +115,25 @@ def _best(rows: DataFrame, by: list[str], order: list[Column], most: int) -> Dat
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= most)
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.98, rerank: int = 128, parts: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _plan(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """list, blocks and query_blocks of each list that some query probes: as many rows as there are lists."""
+    held = index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    wanted = asked.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("query_blocks"))
+    return held.join(wanted, "list")
+
+
+def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.97, rerank: int = 512, parts: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row whose id is divisible by ``every``.
 
     All rows but the query's own are candidates, all if there are no more than ``k``; ties go to the smaller id.
     Null and zero vectors, those with null or non-finite components, those of another length than most, and rows
     without an id take no part, as query or candidate; of repeated rows one counts; an empty table gives an empty one.
-    A query searches as many lists as hold ``reach`` of the neighbours of a sample; ``rerank`` entries of each block are scored exactly, in double precision.
+    A query searches as many lists as hold ``reach`` of the neighbours of a sample. Of all that it finds there the
+    ``rerank`` entries nearest by their codes, and only these, are scored exactly, in double precision.
     """
-    rows = stored(_usable(pick(vectors, **{id_col: "bigint", vector_col: "array<float>"}).toDF("id", "e")).distinct(), "vectors")
+    double = vectors.schema.fields[place(vectors, vector_col)].dataType.simpleString() == "array<double>"
+    kind = "double" if double else "float"
+    rows = stored(_usable(pick(vectors, **{id_col: "bigint", vector_col: f"array<{kind}>"}).toDF("id", "e"), kind).distinct(), "vectors")
     entries = _best(rows, ["h", "e"], [F.col("id")], k + 1).groupBy("h", "e").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     entries = stored(entries, "entries")
     n = entries.count()
@@ -127,70 +147,67 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.98
     seen = _vectors(sample["e"].combine_chunks())  # SAMPLE vectors at most
     fitted = Coder(seen, lists, parts)
     probes, coder = fitted.probes(seen, k, reach), spark.sparkContext.broadcast(fitted)
+    few = fitted.encode(seen[:GAUGE])
+    gauge = spark.sparkContext.broadcast(few)
+    # the place in the gauge below which an entry can't be among the nearest ``rerank`` of all; half as far again, for chance
+    place_of = max(8, int(1.5 * rerank * len(few[0]) / n) + 1)
 
     def coded(batches):
         for batch in batches:
             own, codes = coder.value.encode(_vectors(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *batch.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=["list", "h", "e", "ids", "codes"])
-
-    index = stored(entries.mapInArrow(coded, "list int, h bigint, e array<float>, ids array<bigint>, codes binary"), "index")
-    # as many rows as there are lists
-    blocks = {r["list"]: -(-r["count"] // BLOCK) for r in index.groupBy("list").count().collect()}
-    blocks_of = spark.sparkContext.broadcast(blocks)
-    number = F.create_map(*(F.lit(x) for kv in blocks.items() for x in kv)) if blocks else None
-    index = index.withColumn("block", F.pmod(F.xxhash64("h"), number[F.col("list")].cast("long")).cast("int"))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=["list", "h", "codes"])
+
+    index = stored(entries.select("h", "e").mapInArrow(coded, "list int, h bigint, codes binary"), "index")
     queries = rows.filter(F.col("id") % every == 0)
-    asked = queries.groupBy("h", "e").agg(F.min("id").alias("q"))
 
     def probed(batches):
+        c, (own, codes) = coder.value, gauge.value
         for batch in batches:
             q = _vectors(batch.column(1))
-            near = q @ coder.value.centres.T
+            near = q @ c.centres.T
             m = min(probes, near.shape[1])
-            top = np.argpartition(-near, m - 1, axis=1)[:, :m]
-            own, where, block = [], [], []
-            for i, row in enumerate(top.tolist()):
-                for x in row:
-                    for b in range(blocks_of.value.get(x, 0)):
-                        own.append(i)
-                        where.append(x)
-                        block.append(b)
-            picked = batch.take(pa.array(own, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(block, pa.int32()), picked.column(2), picked.column(1)], names=["list", "block", "q", "e"])
-
-    sent = asked.mapInArrow(probed, "list int, block int, q bigint, e array<float>")
+            top = np.argpartition(-near, m - 1, axis=1)[:, :m].astype(np.int32)
+            least = np.full(len(q), -np.inf, np.float32)
+            if n > rerank and place_of <= len(own):
+                for s in range(0, len(q), QUERIES):
+                    scores = c.by_codes(q[s : s + QUERIES], near[s : s + QUERIES][:, own], codes)
+                    least[s : s + QUERIES] = -np.partition(-scores, place_of - 1, axis=1)[:, place_of - 1]
+            wanted = pa.ListArray.from_arrays(pa.array(np.arange(0, top.size + 1, m, dtype=np.int32)), pa.array(top.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), wanted, pa.array(least)], names=["q", "e", "lists", "least"])
+
+    asked = queries.groupBy("h", "e").agg(F.min("id").alias("q")).select("q", "e")
+    asked = stored(asked.mapInArrow(probed, f"q bigint, e array<{kind}>, lists array<int>, least float"), "asked")
+    dealt = F.broadcast(stored(_plan(index, asked), "lists"))  # as many rows as lists
+    left = index.join(dealt, "list").select("list", "h", "codes", F.pmod("h", F.col("blocks").cast("long")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
+    right = asked.select("q", "e", "least", F.explode("lists").alias("list")).join(dealt, "list")
+    right = right.select("list", "q", F.col("e").cast("array<float>").alias("e"), "least", F.pmod(F.xxhash64("q"), F.col("query_blocks").cast("long")).cast("int").alias("query_block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def found(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The best of one block for the queries sent to it."""
-        out: dict[str, list] = {"q": [], "id": [], "score": []}
+        """The entries of one block that may be among the nearest of the queries sent to it."""
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if left.num_rows and right.num_rows:
-            own, c = _vectors(left["e"].combine_chunks()), coder.value
-            codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(len(own), -1)
-            ids, asked_by = left["ids"].to_pylist(), right["q"].to_pylist()
-            centre = c.centres[left["list"][0].as_py()]
+            c, centre = coder.value, coder.value.centres[left["list"][0].as_py()]
+            codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(left.num_rows, -1)
+            h, asked_by, least = left["h"].to_numpy(), right["q"].to_numpy(), right["least"].to_numpy()
             q = _vectors(right["e"].combine_chunks())
             for s in range(0, len(q), QUERIES):
-                tables = c.tables(q[s : s + QUERIES])
-                near = np.repeat((q[s : s + QUERIES] @ centre)[:, None], len(own), axis=1)
-                for p in range(codes.shape[1]):
-                    near += tables[:, p][:, codes[:, p]]
-                m = min(rerank, len(own))
-                top = np.argpartition(-near, m - 1, axis=1)[:, :m]
-                exact = np.einsum("qmd,qd->qm", own[top].astype(np.float64), q[s : s + QUERIES].astype(np.float64))
-                for i in range(len(top)):
-                    order = np.argsort(-exact[i], kind="stable")[: k + 1]
-                    # entries that tie with the last one stay, and each has its smallest ids
-                    last = exact[i][order[-1]]
-                    for j in np.flatnonzero(exact[i] >= last).tolist():
-                        for x in ids[top[i, j]]:
-                            out["q"].append(asked_by[s + i])
-                            out["id"].append(x)
-                            out["score"].append(float(exact[i, j]))
-        return pa.table([pa.array(out["q"], pa.int64()), pa.array(out["id"], pa.int64()), pa.array(out["score"], pa.float64())], names=["q", "id", "score"])
-
-    near = index.groupBy("list", "block").cogroup(sent.groupBy("list", "block")).applyInArrow(found, "q bigint, id bigint, score double")
-    near = _best(near.dropDuplicates(["q", "id"]), ["q"], [F.desc("score"), F.col("id")], k + 1)
+                own = q[s : s + QUERIES]
+                scores = c.by_codes(own, np.repeat((own @ centre)[:, None], len(codes), axis=1), codes)
+                bound = least[s : s + QUERIES]
+                if len(codes) > rerank:
+                    bound = np.maximum(bound, -np.partition(-scores, rerank - 1, axis=1)[:, rerank - 1])
+                i, j = np.nonzero(scores >= bound[:, None])
+                out.append((asked_by[s + i], h[j], scores[i, j]))
+        q, h, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+        return pa.table([pa.array(q), pa.array(h), pa.array(score)], names=["q", "h", "near"])
+
+    keys = ("list", "block", "query_block")
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(found, "q bigint, h bigint, near float")
+    near = _best(near, ["q"], [F.desc("near"), F.col("h")], rerank).select("q", "h")
+    exact = F.aggregate(F.zip_with("e", "asked", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda x, y: x + y)
+    scored = near.join(entries, "h").join(asked.select("q", F.col("e").alias("asked")), "q").select("q", exact.alias("score"), F.explode("ids").alias("id"))
+    near = _best(scored, ["q"], [F.desc("score"), F.col("id")], k + 1)
     near = near.groupBy("q").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))).alias("near"))  # k + 1 rows at most
-    mine = queries.join(asked, ["h", "e"]).select("id", "q").join(near, "q")
+    mine = queries.select("id", F.col("h"), "e").join(queries.groupBy("h", "e").agg(F.min("id").alias("q")), ["h", "e"]).select("id", "q").join(near, "q")
     mine = mine.select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k).alias("near"))
     return mine.select("query_id", F.posexplode("near").alias("rank", "hit")).select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("hit.id").alias(id_col), (-F.col("hit.minus")).alias("score"))
