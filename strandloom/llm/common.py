@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.staging import shared
+
 #: Upper to lower case for A-Z, other bytes as they are.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: White space that ends a word: blank and the bytes 9 to 13.
@@ -51,21 +53,23 @@ def vacate(name: str = "") -> None:
             ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def place(df: DataFrame, want: str) -> int:
+    """Where a column is: the first with exactly that name, else the first whose name differs in case only."""
+    names = df.columns
+    found = [i for i, c in enumerate(names) if c == want] or [i for i, c in enumerate(names) if c.lower() == want.lower()]
+    if not found:
+        raise ValueError(f"column {want!r} is missing; there are {names}")
+    return found[0]
+
+
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns alone, cast to the given types.
 
     Columns are found by their exact name first, so that extra columns whose names differ in case only do no harm;
     of several columns with one name the first counts. A missing column is an error.
     """
-    names = df.columns
-    at = {}
-    for want in kinds:
-        exact = [i for i, c in enumerate(names) if c == want]
-        loose = exact or [i for i, c in enumerate(names) if c.lower() == want.lower()]
-        if not loose:
-            raise ValueError(f"column {want!r} is missing; there are {names}")
-        at[want] = loose[0]
-    plain = df.toDF(*(f"_c{i}" for i in range(len(names))))
+    at = {want: place(df, want) for want in kinds}
+    plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
     return plain.select(*(F.col(f"_c{at[k]}").cast(v).alias(k) for k, v in kinds.items()))
 
 
@@ -81,8 +85,7 @@ def fold(key: str | Column, n: int) -> Column:
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, or under the warehouse where that is not set (as in tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/strandloom-{uuid.uuid4().hex}"
+    return f"{shared(spark)}/strandloom-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:

@@ -173,6 +173,53 @@ def test_longest_matches():
     assert max(far.tolist()) == 11
 
 
+def test_longest_matches_have_no_bound(spark):
+    rng = random.Random(8)
+    voc = [f"v{k}" for k in range(50)]
+    item = [rng.choice(voc) for _ in range(900)]
+    other = item[:400] + ["else"] + item[401:700]
+    documents = [(1, ["x", *item[100:750], "y"]), (2, item[395:405]), (3, [*item[300:420], "z", *item[0:11]]), (4, ["x"] * 50), (5, item * 2)]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in documents], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(other)), (9, "x")], "item_id long, text string")
+
+    def longest(words, lines):
+        best = 0
+        for line in lines:
+            row = [0] * (len(line) + 1)
+            for w in words:
+                row = [0] + [row[j] + 1 if w == x else 0 for j, x in enumerate(line)]
+                best = max(best, *row)
+        return best
+
+    found = {r["doc_id"]: r["found"] for r in decontam.matches(df, bench).collect()}
+    assert {k: found[k]["longest"] for k, _ in documents} == {k: longest(w, [item, other, ["x"]]) for k, w in documents}
+    assert found[1]["longest"] == 650 and found[5]["longest"] == 900
+    assert [(h["start"], h["stop"]) for h in found[1]["hits"]] == [(0, 651)] and found[3]["items"] == [7, 8] and found[2]["items"] == [7]
+    wide = decontam.matches(df, bench, window=300)
+    assert {r["doc_id"] for r in wide.filter("size(found.items) > 0 and array_contains(found.items, 7L)").collect()} == {1, 5}
+
+
+def test_suffix_arrays_and_binary_search():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 5, 200):
+        x = np.append(rng.integers(0, 4, size), 0).astype(np.uint32)
+        after = lambda i: x[i : i + np.flatnonzero(x[i:] == 0)[0]].tolist()  # noqa: B023, E731
+        array = decontam.suffix_array(x, size)
+        assert [after(i) for i in array] == sorted(after(i) for i in np.flatnonzero(x))
+        t = rng.integers(1, 4, 30).astype(np.uint32)
+        starts, lengths = np.arange(30), np.minimum(6, 30 - np.arange(30))
+        low, before, behind = decontam.insertion(x, array, t, starts, lengths)
+        high = decontam.insertion(x, array, t, starts, lengths, after=True)[0]
+        for j in range(30):
+            own = t[j : j + lengths[j]].tolist()
+            begin = [i for i in array if after(i)[: len(own)] == own]
+            assert sorted(array[low[j] : high[j]]) == sorted(begin)
+            common = lambda i: next((n for n, (a, b) in enumerate(zip(after(i), own)) if a != b), min(len(own), len(after(i))))  # noqa: B023, E731
+            assert max(before[j], behind[j]) == max((common(i) for i in array), default=0)
+
+
 def test_pipeline_stages_keep_clean_documents_and_their_columns(spark):
     import corpus_pipeline
 
