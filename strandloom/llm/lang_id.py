@@ -93,14 +93,16 @@ class Model:
         return loss.argmin(1), odds.max(1), (two[:, 0] - two[:, 1] < 0.2) if two.shape[1] > 1 else np.zeros(len(x), bool)
 
 
-def fit(rows: DataFrame, max_rows: int = 4000, max_languages: int = 512, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fits on at most ``max_rows`` rows, spread over the (at most ``max_languages``) languages by the hash of their ids.
+def fit(rows: DataFrame, max_rows: int = 4000, least: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Fits on at most ``max_rows`` rows, spread over all languages by the hash of their ids; with more than
+    ``max_rows`` / ``least`` languages on up to ``least`` rows of each.
 
-    Rows without a language or text teach nothing. What reaches the driver is a vector of fixed length per sampled row.
+    Rows without a language or text teach nothing; of rows with one id (or none) and language one is taken. What
+    reaches the driver is a vector of fixed length per sampled row.
     """
     rows = pick(rows, **{id_col: "bigint", text_col: "string", lang_col: "string"}).filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    counts = classes(rows, lang_col, max_languages)
-    each = max(1, max_rows // max(1, len(counts)))
+    counts = classes(rows, lang_col)
+    each = max(least, max_rows // max(1, len(counts)))
 
     def make():
         def vectors(batch: pa.RecordBatch):
@@ -110,7 +112,7 @@ def fit(rows: DataFrame, max_rows: int = 4000, max_languages: int = 512, id_col:
 
         return vectors
 
-    found = arrow_map(spread(rows, id_col, lang_col, counts, each), make, "id bigint, lang string, x binary").collect()
+    found = arrow_map(spread(rows, id_col, lang_col, counts, each, F.xxhash64(text_col)), make, "id bigint, lang string, x binary").collect()
     found = bounded(found, 1, each)
     names = sorted({r["lang"] for r in found})
     x = np.array([np.frombuffer(r["x"], np.float16) for r in found], np.float32).reshape(-1, BUCKETS)
@@ -150,5 +152,5 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def held_out(documents: DataFrame) -> DataFrame:
     """Learns from the documents outside fold 1 of 3 and predicts all: doc_id, held_out, lang_pred, score, ambiguous."""
-    model = fit(documents.filter(fold("doc_id", 3) != 1))
-    return predict(documents, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+    rows = pick(documents, doc_id="bigint", text="string", lang="string")
+    return predict(rows, fit(rows.filter(fold("doc_id", 3) != 1))).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")

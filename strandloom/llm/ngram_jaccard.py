@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, Memo, arrow_map, mixed, pick, resident, slices, stored
+from .common import BLANKS, LOWER, Memo, arrow_map, mixed, pick, place, resident, slices, stored
 from .components import components
 
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
@@ -432,7 +432,7 @@ def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_
     Of repeated rows one stays. Rows of one id are judged each by its own text. Rows without an id link with nothing
     (see ``join``), so all of them stay, whatever their text; so do all without a word.
     """
-    at, text_at = df.columns.index(id_col), df.columns.index(text_col)
+    at, text_at = place(df, id_col), place(df, text_col)
     plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
     key = plain[f"_c{at}"].cast("bigint")
     linked = _linked(pick(df, **{id_col: "bigint", text_col: "string"}).toDF("id", "text"), n, part, whole).filter(F.col("id").isNotNull())

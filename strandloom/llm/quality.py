@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, fold, pick, slices
+from .common import arrow_map, fold, pick, place, slices
 from .sampling import bounded, classes, spread
 
 #: Bytes of a chunk, from one chunk to the next, numbers per byte, bytes a filter sees, from one place to the next, filters, hidden units.
-CHUNK, STEP, DIM, WIDTH, STRIDE, FILTERS, HIDDEN = 512, 448, 8, 8, 4, 64, 24
+CHUNK, STEP, DIM, WIDTH, STRIDE, FILTERS, HIDDEN = 512, 447, 8, 8, 2, 64, 24
 #: Chunks that pass the network at a time.
 AT_ONCE = 256
 
@@ -116,34 +116,41 @@ def mean_odds(net: Network, texts: list[bytes]) -> np.ndarray:
     return np.add.reduceat(np.concatenate(out).astype(np.float64), ends - counts) / counts
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 4000, max_chunks: int = 12, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
-    """Fits on at most ``max_rows`` labelled texts, as many of either label, and ``max_chunks`` evenly spaced chunks of each.
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
+    """Fits on at most ``max_rows`` labelled texts, as many of either label, with all chunks of each.
 
-    Labels other than 0 and 1 are left out; of several labels of a text the largest counts. Without both labels the
+    Texts are taken in the order of their ids' hashes as long as they fit into ``max_bytes`` for each label, which
+    bounds what the driver holds; one that does not fit is passed over whole. Of rows with one id one is taken. Labels other than 0 and 1 are left out; of several labels of a text the largest counts. Without both labels the
     score is that of an untrained network pulled to the only label, or 0.5 without any.
     """
     marks = pick(labels, **{id_col: "bigint", label_col: "int"}).filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     marks = marks.groupBy(id_col).agg(F.max(label_col).alias(label_col))
-    counts = classes(marks, label_col, 2)
     each = max_rows // 2
-    chosen = bounded([tuple(r) for r in spread(marks, id_col, label_col, counts, each).collect()], 1, each)
-    net = Network()
+    spark, net = documents.sparkSession, Network()
+    rows = pick(documents, **{id_col: "bigint", text_col: "string"}).withColumn("bytes", F.coalesce(F.octet_length(text_col), F.lit(0)))
+    # twice as many, for labels without a text and texts that are passed over
+    marked = spread(marks, id_col, label_col, classes(marks, label_col), 2 * each).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_goal"))
+    sizes = rows.join(F.broadcast(marked), rows[id_col] == marked["_id"]).groupBy(id_col, "_goal").agg(F.min(F.struct("bytes", F.xxhash64(text_col).alias("h"))).alias("of"))
+    sizes = sizes.orderBy(F.xxhash64(F.lit("order"), id_col)).limit(8 * each).collect()
+    room, left, chosen = {0: max_bytes, 1: max_bytes}, {0: each, 1: each}, []
+    for r in sizes:
+        goal, size = r["_goal"], r["of"]["bytes"]
+        if left[goal] and size <= room[goal]:
+            room[goal] -= size
+            left[goal] -= 1
+            chosen.append((r[id_col], goal, r["of"]["h"]))
     if not chosen:
         return net
-    goal_of = documents.sparkSession.sparkContext.broadcast(dict(chosen))  # max_rows entries at most
-    few = documents.sparkSession.createDataFrame([(k,) for k, _ in chosen], "id bigint")
-    rows = pick(documents, **{id_col: "bigint", text_col: "string"})
-    rows = rows.join(F.broadcast(few), rows[id_col] == few["id"], "left_semi")
+    few = spark.createDataFrame(chosen, "id bigint, goal int, h bigint")  # max_rows rows at most
+    rows = rows.join(F.broadcast(few), (F.col(id_col) == F.col("id")) & (F.xxhash64(text_col) == F.col("h"))).select("id", text_col, "goal").dropDuplicates(["id"])
 
     def make():
         def each_batch(batch: pa.RecordBatch):
             at, data = slices(batch.column(1))
             kept = []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                c = chunks(bytes(data[a:b]))
-                kept.append(c[np.unique(np.linspace(0, len(c) - 1, min(len(c), max_chunks)).astype(int))].tobytes())
-            goal = [goal_of.value[k] for k in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(goal, pa.int32()), pa.array(kept, pa.binary())], names=["id", "goal", "rows"])
+                kept.append(chunks(bytes(data[a:b])).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(kept, pa.binary())], names=["id", "goal", "rows"])
 
         return each_batch
 
@@ -168,7 +175,7 @@ def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "
     repeated; null ids stay null; an empty table gives an empty one; other columns are left out.
     """
     plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
-    at_row = df.columns.index(text_col) if keep else None
+    at_row = place(df, text_col) if keep else None
     if keep:  # the text is read out of the row, so it is sent once
         rows = plain.withColumn(f"_c{at_row}", F.col(f"_c{at_row}").cast("string")).select(F.struct("*").alias("row"))
     else:
@@ -189,8 +196,8 @@ def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "
 
 def held_out(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Learns from labels outside fold 1 of 3 and scores all documents: doc_id, held_out, score, predicted."""
-    net = fit(documents, labels.filter(fold("doc_id", 3) != 1))
-    return score(documents, net).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    rows, marks = pick(documents, doc_id="bigint", text="string"), pick(labels, doc_id="bigint", quality="int")
+    return score(rows, fit(rows, marks.filter(fold("doc_id", 3) != 1))).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def good(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:

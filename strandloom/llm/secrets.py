@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, stored
+from .common import pick, place, stored
 
 # The strong patterns. Their length limits hold for whole matches, or for the assigned value.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -89,7 +89,7 @@ def scan(df: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: str
     kept = ["row"] if keep else []
     if keep:
         plain = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
-        ids, texts = (plain[f"_c{df.columns.index(c)}"] for c in (id_col, text_col))
+        ids, texts = (plain[f"_c{place(df, c)}"] for c in (id_col, text_col))
         rows = plain.select(ids.cast("bigint").alias(id_col), texts.cast("string").alias(text_col), F.struct("*").alias("row"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     assigned = matches(text, ASSIGN, 0)
@@ -138,7 +138,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
     """
     names = df.columns
     rows = scan(df, id_col=id_col, text_col=text_col, keep=True)
-    at = names.index(text_col)
+    at = place(df, text_col)
     text = F.col("row")[f"_c{at}"]
     # (text so far, end of the last span): copy up to the next span, add a mark unless it overlaps the last one
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("upto"))
