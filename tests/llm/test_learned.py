@@ -171,13 +171,40 @@ def test_model_probabilities_add_up_to_one(spark):
     got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame([(k, w) for k, w in enumerate(words)] + [(99, "")], "doc_id long, text string"), train).collect()}
     counts = lm.word_counts(train.select(F.col("text").cast("binary")))
     head = lm.head_of(counts, lm.HEAD)
-    table = np.exp(lm.fit(lm.pair_counts(train.select(F.col("text").cast("binary")), head), len(head.n)))
-    assert np.allclose(table.sum(1), 1, atol=1e-4)
+    model = lm.fit(lm.pair_counts(train.select(F.col("text").cast("binary")), head), head)
+    assert np.allclose(np.exp(model.r @ model.q.T + model.b - model.total[:, None]).sum(1), 1, atol=1e-4)
     # the probability of a one-word text is that of the word at the start times that of the end after it
-    after = {w: table[head.context[head.number[w.encode()]] if w != "unseen" else lm.context_class(b"unseen"), 0] for w in words}
+    known = 1 - 0.5 / (head.total + 0.5 * (head.distinct + 1))
+    context = {w: head.context[head.number[w.encode()]] if w != "unseen" else lm.CONTEXTS + lm.class_of(b"unseen") for w in words}
+    after = {w: known * np.exp(model.likely(np.array([context[w]]), np.array([0])))[0] for w in words}
     assert abs(sum(10 ** got[k] / after[w] for k, w in enumerate(words)) + 10 ** got[99] - 1) < 1e-3
 
 
+def test_model_probabilities_add_up_to_one_over_classes_and_words_beyond_the_head(spark):
+    rng = random.Random(2)
+    texts = [" ".join([f"w{rng.randrange(40)}" for _ in range(8)] + [f"x{k}", f"x{k + 1}"]) for k in [*range(0, 9000, 2), *range(0, 7400, 2)]]
+    seen = sorted({w for t in texts for w in t.split()}) + ["unseen"]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    asked = spark.createDataFrame(list(enumerate([*(f"w0 {w}" for w in seen), "w0"])), "doc_id long, text string")
+    rows = lm.score(asked, train, head_words=8000).collect()
+    got = {r["doc_id"]: r["score"] for r in rows}
+    assert sum(r["n_known"] for r in rows) == sum(r["n_tokens"] for r in rows) - 1
+    counts = lm.word_counts(train.select(F.col("text").cast("binary")))
+    head = lm.head_of(counts, 8000)
+    assert lm.SYMBOLS < len(head.n) <= 8000 < head.distinct and head.class_n.sum() + head.n[: lm.SYMBOLS].sum() == head.total and head.class_words.sum() == head.distinct - lm.SYMBOLS
+    model = lm.fit(lm.pair_counts(train.select(F.col("text").cast("binary")), head), head)
+    known = 1 - 0.5 / (head.total + 0.5 * (head.distinct + 1))
+
+    def end_after(w):
+        k = head.number.get(w.encode())
+        context = head.context[k] if k is not None else lm.CONTEXTS + lm.class_of(w.encode())
+        return known * math.exp(model.likely(np.array([context]), np.array([0]))[0])
+
+    start = 10 ** got[len(seen)] / end_after("w0")  # of w0 at a text's start
+    # of each word after w0: the score of both without the start and the end
+    assert abs(sum(10 ** got[k] / start / end_after(w) for k, w in enumerate(seen)) + end_after("w0") - 1) < 1e-4
+
+
 @pytest.mark.parametrize("n", [1, 5, 300])
 def test_means_have_as_many_centres_as_wanted(n):
     x = np.random.default_rng(0).standard_normal((300, 4)).astype(np.float32)
