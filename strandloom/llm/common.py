@@ -83,6 +83,15 @@ def fold(key: str | Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+def anew(key: str) -> Column:
+    """A whole number as an expression of its own.
+
+    An aggregate is dealt by its key, and a join on that key would take it as it is; joined by this instead, both sides
+    come fresh from a shuffle, and Spark can split the tasks of a key that very many rows have.
+    """
+    return F.col(key).bitwiseXOR(F.lit(0))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, or under the warehouse where that is not set (as in tests)."""
     return f"{shared(spark)}/strandloom-{uuid.uuid4().hex}"

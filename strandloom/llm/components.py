@@ -1,7 +1,8 @@
 """Connected components by alternating stars.
 
-Edges are first contracted within partitions. Each round links every node's larger neighbours, then its smaller ones, to the least of them; every intermediate edge
-set is written to the shared folder. Rounds grow with the logarithm of the number of nodes.
+Edges are first contracted within partitions, a bounded number at a time. Each round links every node's larger neighbours, then its smaller ones, to the least of them; every intermediate edge
+set is written to the shared folder. Rounds grow with the logarithm of the number of nodes. A node with very many
+neighbours is no long group: map tasks take minima first, and joins to them can be split (``anew``).
 """
 
 from __future__ import annotations
@@ -11,7 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, forget, stored
+from .common import anew, arrow_map, forget, stored
+
+#: Edges that a task holds.
+HELD = 1 << 20
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,21 +36,28 @@ def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """Each partition's edges as stars around the least nodes: as many rows as it has other nodes, at most."""
+    """Each partition's edges, ``HELD`` at a time, as stars around the least nodes: fewer rows than there are nodes."""
 
     def make():
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def each(batch: pa.RecordBatch):
-            held.append(batch)
-            return iter(())
+        def contract():
+            nodes, least = roots(*(np.concatenate(x) for x in zip(*held)))
+            own = nodes != least
+            held[:] = [(nodes[own], least[own])]
 
         def finish():
             if held:
-                a, b = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1))
-                nodes, least = roots(a, b)
-                own = nodes != least
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(least[own])], names=["a", "b"])
+                contract()
+                a, b = held.pop()
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        def each(batch: pa.RecordBatch):
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            if sum(len(a) for a, _ in held) > HELD:
+                contract()
+                if len(held[0][0]) > HELD // 2:
+                    yield from finish()
 
         each.finish = finish
         return each
@@ -57,13 +68,13 @@ def _contracted(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame) -> DataFrame:
     """One large star and one small star: edges (a, b) with b < a."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("m", "a").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select(anew("a").alias("u"), F.least("m", "a").alias("m"))
     # large: each larger neighbour goes to the least of the neighbourhood
     large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     # small: each smaller neighbour and the node itself go to the least smaller neighbour
-    small = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-    joined = large.join(small, F.col("a") == F.col("u"))
-    return joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+    small = large.groupBy("a").agg(F.min("b").alias("m"))
+    joined = large.join(small.select(anew("a").alias("u"), "m"), F.col("a") == F.col("u"))
+    return joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).distinct()
 
 
 def components(edges: DataFrame, what: str) -> DataFrame:

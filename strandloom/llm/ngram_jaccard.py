@@ -6,7 +6,8 @@ of c(s, t) elements, and sets that share one are candidates. Where both are heav
 belongs to a block of shingles, not to one: the shingle hashes are cut into H + 1 + z ranges, where H is the most
 elements in which two linked sets of that size can differ, so linked sets agree on more than z whole ranges; a set
 leaves out up to z ranges with fewer than two shingles. A shingle, passage or line that very many texts share thus
-makes no long list. The boundary is where both ways cost least.
+makes no long list. The boundary is where both ways cost least, by the sizes of all small sets and the lengths of
+their lists.
 
 All members of a list are joined to its least, map tasks first, so a list gives as many rows as members and a hot one
 as many as map tasks to one reducer. The components of these candidates are then verified exactly, each as blocks of
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, Memo, arrow_map, mixed, pick, place, resident, slices, stored
+from .common import BLANKS, LOWER, Memo, anew, arrow_map, mixed, pick, place, resident, slices, stored
 from .components import components
 
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
@@ -35,8 +36,9 @@ _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
 LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 4096, 1 << 19
 #: Texts of the sample that frequent shingles are found in, and most of these.
 SAMPLE, COMMON = 50_000, 500_000
-#: Cost of a list entry against that of an enumerated subset: a list's candidates are still to be verified.
-LIST_COST = 3
+#: Cost of an entry of a list that was not measured. Largest set that may be light; bytes of texts that are looked at for
+#: sets of that size.
+LIST_COST, MOST_LIGHT, SHORT_BYTES = 3, 40, 4096
 #: Bits of the filter over candidate texts' ids.
 FILTER_BITS = 1 << 26
 
@@ -44,9 +46,9 @@ FILTER_BITS = 1 << 26
 class Plan:
     """What sizes and a threshold of ``part`` of ``whole`` (90 of 100) ask for."""
 
-    def __init__(self, part: int, whole: int) -> None:
+    def __init__(self, part: int, whole: int, light: int | None = None) -> None:
         self.part, self.whole = part, whole
-        self.light = min(range(41), key=lambda x: (self._cost(x), x))
+        self.light = self.boundary({s: 1 for s in range(1, MOST_LIGHT + 1)}, {}) if light is None else light
         self.ends: list[int] = []  # last size of each band of heavy sizes
         at = self.light + 1
         while at < 1 << 40:
@@ -63,10 +65,22 @@ class Plan:
         """(partner's size, subset size) for which a set of size s enumerates subsets; equal sets are one already."""
         return [(t, c) for t in self.partners(s) if t and min(s, t) <= light and not ((c := self.overlap(s, t)) == s == t) and c <= min(s, t)]
 
-    def _cost(self, light: int) -> int:
-        """Entries of sets of sizes 1 to 40, one of each, for a boundary."""
-        enumerated = sum(comb(s, c) for s in range(1, 41) for _, c in self.subsets(s, light))
-        return enumerated + LIST_COST * sum(2 * (self._differ(s * self.whole // self.part) + 3) for s in range(light + 1, 41))
+    def boundary(self, sets: dict[int, int], lengths: dict[int, float]) -> int:
+        """The boundary of least cost, from the number of sets by size and how many sets their lists hold.
+
+        An enumerated subset costs one; a list entry as much as there are sets in its list, which it has to be held
+        against, or ``LIST_COST`` where no list was measured.
+        """
+
+        def cost(light: int) -> float:
+            total = 0.0
+            for s, n in sets.items():
+                total += n * sum(comb(s, c) for _, c in self.subsets(s, light))
+                if s > light:
+                    total += n * lengths.get(s, LIST_COST) * 2 * (self._differ(s * self.whole // self.part) + 3)
+            return total
+
+        return min(range(MOST_LIGHT + 1), key=lambda x: (cost(x), x))
 
     def _differ(self, last: int) -> int:
         """The most elements in which linked sets differ if the smaller has at most ``last``."""
@@ -93,8 +107,8 @@ class Plan:
 
 
 @lru_cache(8)
-def plan(part: int, whole: int) -> Plan:
-    return Plan(part, whole)
+def plan(part: int, whole: int, light: int | None = None) -> Plan:
+    return Plan(part, whole, light)
 
 
 class Shingles:
@@ -192,14 +206,46 @@ def common_shingles(rows: DataFrame, n: int) -> np.ndarray:
     return np.sort(found["s"].to_numpy().astype(np.uint64)) if found.num_rows else np.zeros(0, np.uint64)
 
 
+def measured(rows: DataFrame, n: int, part: int, whole: int) -> tuple[dict[int, int], dict[int, float]]:
+    """Of all sets of at most ``MOST_LIGHT`` shingles: how many distinct ones have each size, and how many sets the
+    lists of a set of that size hold on average. Texts of over ``SHORT_BYTES`` bytes count as large."""
+
+    def make():
+        every, of = plan(part, whole, 0), shingles(n).of
+
+        def each(batch: pa.RecordBatch):
+            at, data = slices(batch.column(0))
+            size, node, key = [], [], []
+            for x, y in zip(at[:-1].tolist(), at[1:].tolist()):
+                own = of(bytes(data[x:y]))
+                if 0 < len(own) <= MOST_LIGHT:
+                    k = entries(own, every)
+                    size.append(np.full(len(k), len(own)))
+                    node.append(np.full(len(k), digest(own)))
+                    key.append(k.astype(np.int64))
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(size).astype(np.int32)), pa.array(np.concatenate(node)), pa.array(np.concatenate(key))], names=["s", "node", "key"])
+
+        return each
+
+    short = rows.filter(F.octet_length("text") <= SHORT_BYTES).select("text")
+    found = stored(arrow_map(short, make, "s int, node bigint, key bigint", keeps=f"shingles {n}").distinct(), "short-sets")
+    lists = found.groupBy("s", "key").agg(F.count("*").cast("double").alias("c"))
+    got = lists.groupBy("s").agg((F.sum(F.col("c") * F.col("c")) / F.sum("c")).alias("length"))
+    lengths = {r["s"]: r["length"] for r in got.collect()}  # MOST_LIGHT rows
+    sets = {r["s"]: r["count"] for r in found.select("s", "node").distinct().groupBy("s").count().collect()}
+    return sets, lengths
+
+
 def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     """kind 0: a = digest, b = id, n; kind 1: a = key, b = digest; kind 2: a = digest, b = digest of a candidate."""
     # for higher thresholds ranges hold so many shingles that frequent ones hardly ever fill one
     common = common_shingles(rows, n) if 100 * part < 88 * whole else np.zeros(0, np.uint64)
     sent = rows.sparkSession.sparkContext.broadcast(common)
+    light = plan(part, whole, 0).boundary(*measured(rows, n, part, whole))
 
     def make():
-        own_plan, of, seen = plan(part, whole), shingles(n).of, set()
+        own_plan, of, seen = plan(part, whole, light), shingles(n).of, set()
         keys, nodes, held = [], [], [0]
 
         def batch_of(kind: int, a, b, size) -> pa.RecordBatch:
@@ -411,7 +457,7 @@ def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     texts = F.least(F.lit(MOST_TEXTS), F.greatest(F.lit(LEAST_TEXTS), F.sqrt(32.0 * F.count("*"))))
     blocks = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / texts), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     # the small tables first: sets are dealt twice only, by id and by block
-    placed = members.join(blocks, "root")
+    placed = members.join(blocks.withColumn("of", anew("root")).drop("root"), F.col("root") == F.col("of")).drop("of")
     members = placed.join(_sets(rows.withColumn("text", F.col("text").cast("binary")), members.select("id"), n), ["id", "node"])
     mine = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     pairs = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -420,8 +466,8 @@ def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     links = true.filter("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     least = nodes.join(components(true.filter("kind = 0").select("a", "b"), "components"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = least.groupBy("root").agg(F.min("id").alias("component_id"))
-    classes = least.join(ids, "root").join(links, "node", "left").select("node", "root", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes, "node").select("id", "node", "root", "n_shingles", "component_id", "n_links")
+    classes = least.join(ids.select(anew("root").alias("of"), "component_id"), F.col("root") == F.col("of")).join(links, "node", "left").select("node", "root", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes.withColumn("of", anew("node")).drop("node"), F.col("node") == F.col("of")).select("id", "node", "root", "n_shingles", "component_id", "n_links")
     alone = docs.filter("n_shingles = 0 or id is null").select("id", "node", F.lit(None).cast("bigint").alias("root"), "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
     return linkable.unionByName(alone)
 

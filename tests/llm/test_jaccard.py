@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandloom.llm import ngram_jaccard as J
 from strandloom.llm.components import components
@@ -115,7 +116,31 @@ def test_linked_sets_always_share_an_entry(part):
                     assert set(J.entries(own, plan, known).tolist()) & set(J.entries(other, plan, known).tolist())
 
 
+def test_the_boundary_follows_the_sizes_and_lists_of_the_data(spark):
+    plan = J.plan(80, 100, 0)
+    assert plan.boundary({12: 100}, {12: 1.0}) < 12 <= plan.boundary({12: 100}, {12: 1000.0})
+    assert plan.boundary({}, {}) == 0
+    texts = [(k, f"a b c d e f g {k % 5}") for k in range(50)] + [(50, "a b"), (51, None), (52, ""), (53, "w " * 5000)]
+    rows = spark.createDataFrame(texts, "id long, text string").withColumn("text", F.col("text").cast("binary"))
+    sets, lengths = J.measured(rows, 3, 80, 100)
+    assert sets == {1: 1, 6: 5} and 1 <= lengths[6] <= 5
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 150)] + [(7, 7), (200, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert got == {(k, 0) for k in range(61)} | {(k, 100) for k in range(100, 150)}
+
+
+def test_components_of_more_edges_than_a_task_holds():
+    from strandloom.llm import components as C
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 300, 400), rng.integers(0, 300, 400)
+    whole = dict(zip(*C.roots(a, b)))
+    held = [(a[k : k + 20], b[k : k + 20]) for k in range(0, 400, 20)]
+    now = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for x, y in held:  # contracting what was contracted with what comes next
+        nodes, least = C.roots(np.concatenate([now[0], x]), np.concatenate([now[1], y]))
+        now = nodes[nodes != least], least[nodes != least]
+    assert dict(zip(now[0], now[1])) == {k: v for k, v in whole.items() if k != v}
