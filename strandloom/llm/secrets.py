@@ -15,6 +15,8 @@ room for, so the join stays linear in the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +32,27 @@ IDENTIFIER = r"""(?i:access_?key(?:_?id)?|client_?id|user_?name|user|login)["']?
 ENDPOINT = r"""(?i:https?|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+|(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}"""
 KINDS = ("assign", "access", "hex", "link_secret", "link_access", "link_endpoint")
 SPAN = "array<struct<start:bigint,kind:int,stop:bigint>>"
-BLOCK = 256
+#: Elements of a block of running sums, code points of a piece of a text.
+BLOCK, PIECE = 256, 4096
 
 
-def running_sums(numbers: Column) -> Column:
-    """Sums of an array's elements up to each place: within blocks of ``BLOCK``, and over the blocks before."""
-    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
+def running(numbers: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """An array of what ``merge`` makes of all elements (of 0 and more) up to each place: within blocks of ``BLOCK``, with
+    what the blocks before come to carried along once a block."""
+    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), merge)
     first = F.sequence(F.lit(0), F.greatest(F.size(numbers) - 1, F.lit(0)), F.lit(BLOCK))
     blocks = F.transform(first, lambda b: F.slice(numbers, b + 1, F.lit(BLOCK)))
-    sums = F.transform(blocks, total)
-    within = F.transform(blocks, lambda block, b: F.transform(block, lambda _, i: total(F.slice(sums, F.lit(1), b)) + total(F.slice(block, F.lit(1), i + 1))))
+    # one array, so that each block's total is taken once
+    before = F.transform(F.array(F.transform(blocks, total)), lambda sums: F.transform(sums, lambda _, b: total(F.slice(sums, F.lit(1), b))))[0]
+    within = F.zip_with(blocks, before, lambda block, carried: F.transform(block, lambda _, i: merge(carried, total(F.slice(block, F.lit(1), i + 1)))))
     return F.when(F.size(numbers) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(within))
 
 
+def running_sums(numbers: Column) -> Column:
+    """Sums of an array's elements up to each place."""
+    return running(numbers, lambda x, y: x + y)
+
+
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost matches that do not overlap, as structs of start, kind, stop (code points) and the matched text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -121,7 +131,9 @@ def scan(df: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: str
     linked = linked.unionByName(_near(_near(endpoints, all_access, scope), all_secrets, scope))
     linked = linked.groupBy("key").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("linked"))
     none = F.array().cast(SPAN)
-    with_links = rows.filter("key is not null").join(linked, "key", "left").select(id_col, *kept, "base", F.concat("base", F.coalesce("linked", none)).alias("spans"))
+    # joined by a value of its own, so that the rows of a text that very many rows repeat can be split (see ``anew``)
+    linked = linked.select(F.concat("key", F.lit("")).alias("of"), "linked")
+    with_links = rows.filter("key is not null").join(linked, F.col("key") == F.col("of"), "left").select(id_col, *kept, "base", F.concat("base", F.coalesce("linked", none)).alias("spans"))
     return rows.filter("key is null").select(id_col, *kept, "base", F.col("base").alias("spans")).unionByName(with_links)
 
 
@@ -134,19 +146,23 @@ def digests(documents: DataFrame) -> DataFrame:
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """The rows of ``df``, all columns, with the text under every span of ``scan`` replaced by ``mark``.
 
-    Overlapping spans become one mark; texts without spans, null ones too, stay as they are.
+    Overlapping spans become one mark; texts without spans, null and empty ones too, stay as they are; repeated rows
+    stay repeated; null ids stay null; an empty table gives an empty one; columns of any name stay as they are.
     """
-    names = df.columns
     rows = scan(df, id_col=id_col, text_col=text_col, keep=True)
     at = place(df, text_col)
     text = F.col("row")[f"_c{at}"]
-    # (text so far, end of the last span): copy up to the next span, add a mark unless it overlaps the last one
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("upto"))
-    copy = lambda a, b: F.substring(text, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
-    step = lambda x, s: F.struct(
-        F.when(s["start"] >= x["upto"], F.concat(x["done"], copy(x["upto"], s["start"]), F.lit(mark))).otherwise(F.when(x["upto"] > 0, x["done"]).otherwise(F.lit(mark))).alias("done"),
-        F.greatest(x["upto"], s["stop"]).alias("upto"),
-    )
-    end = lambda x: F.concat(x["done"], F.substring(text, (x["upto"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size("spans") > 0, F.aggregate(F.array_sort("spans"), start, step, end)).otherwise(text)
-    return rows.select(*((clean if i == at else F.col("row")[f"_c{i}"]).alias(c) for i, c in enumerate(names)))
+    # an offset in a long text costs time in proportion, so it is cut into pieces once
+    rows = rows.withColumn("spans", F.array_sort("spans")).withColumn("pieces", F.when(F.size("spans") > 0, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))))
+    rows = rows.withColumn("upto", running(F.transform("spans", lambda s: s["stop"]), lambda x, y: F.greatest(x, y)))
+
+    def copy(a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        whole = F.array_join(F.slice("pieces", first + 1, F.floor((b - 1) / PIECE).cast("int") - first + 1), "")
+        return F.when(b > a, F.substring(whole, (a - first * PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+    before = lambda i: F.when(i > 0, F.get("upto", i - 1)).otherwise(0).cast("bigint")
+    parts = F.transform("spans", lambda s, i: F.when(s["start"] >= before(i), F.concat(copy(before(i), s["start"]), F.lit(mark))).otherwise(""))
+    end = copy(F.element_at("upto", -1), F.length(text).cast("bigint"))
+    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(parts, ""), end)).otherwise(text)
+    return rows.select(*((clean if i == at else F.col("row")[f"_c{i}"]).alias(c) for i, c in enumerate(df.columns)))
