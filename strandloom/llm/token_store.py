@@ -1,6 +1,6 @@
 """Token ids in Parquet list columns.
 
-Documents are dealt by ranges of their ids into shards, sorted within each, encoded, and written: ids as dictionary
+Documents are dealt by ranges of their ids, which Spark finds in a sample, into shards, sorted within each, encoded, and written: ids as dictionary
 encoded lists (few distinct values, so pages hold packed indexes), document ids and offsets as delta encoded
 integers. Row groups and pages have set sizes and the files carry page indexes, so a reader that wants some
 documents, or the metadata alone, reads those pages and columns only.
@@ -22,6 +22,9 @@ from .pieces import MARK, packed
 
 #: Bytes of a row group before compression, and of a page.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
+#: Rows of a page at most, so that pages of ids and of numbers end near one another; bytes of input for a shard, and most
+#: shards by that rule.
+PAGE_ROWS, SHARD_BYTES, MOST_SHARDS = 1024, 128 << 20, 100_000
 
 
 class LibraryEncoder:
@@ -79,19 +82,15 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, shards: int
     """Writes columns shard, id, n_tokens, shard_start (ids before the document in its shard) and ids (list of int).
 
     Each document ends with ``end_id``; null and empty texts hold it alone. Shards ascend by document id, null ids
-    first; rows of one id follow one another in the order of their texts. An empty table writes no rows. Other columns are left out.
+    first; rows of one id follow one another as they were read. An empty table writes no rows. Other columns are left out.
     """
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    # bounds of the shards from the ids alone: a read of one column, and as many numbers as there are shards
-    n = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = rows.select(F.percentile_approx(id_col, [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    shard = F.lit(0)
-    if bounds:
-        cuts = F.array(*map(F.lit, bounds))
-        # how many bounds lie below the id
-        shard = F.coalesce(F.aggregate(cuts, F.lit(0), lambda x, b: x + (F.col(id_col) > b).cast("int")), F.lit(0))
-    dealt = rows.withColumn("shard", shard).repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
+    spark = df.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files, nothing is read
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, size // SHARD_BYTES))
+    # ranges of ids, and of places among the rows of an id that very many rows have
+    order = [F.col(id_col).asc_nulls_first(), F.col("place").asc()]
+    dealt = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order).select(id_col, text_col, F.spark_partition_id().alias("shard"))
 
     def make():
         lib, done = library(tokenizer), [0]
@@ -109,7 +108,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, shards: int
 
     coded = arrow_map(dealt, make, f"shard int, `{id_col}` bigint, n_tokens bigint, shard_start bigint, ids array<int>", rows=4096, keeps=f"library {tokenizer}")
     options = {
-        "compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size": PAGE, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "PARQUET_2_0",
+        "compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size": PAGE, "parquet.page.row.count.limit": PAGE_ROWS, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "PARQUET_2_0",
         "parquet.enable.dictionary": "false", "parquet.enable.dictionary#ids.list.element": "true",
     }
     coded.write.options(**options).parquet(path)
@@ -132,6 +131,16 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     return rows.withColumn("start", F.col("shard_start") + F.element_at(offsets, F.col("shard") + 1))
 
 
+def documents(spark: SparkSession, path: str, first: int, last: int, id_col: str = "doc_id") -> DataFrame:
+    """The stored rows with ids from ``first`` to ``last``: of other row groups and pages, only the indexes are read."""
+    return spark.read.parquet(path).filter(F.col(id_col).between(first, last))
+
+
+def lengths(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
+    """id and n_tokens of all rows, without reading a token."""
+    return spark.read.parquet(path).select(id_col, "n_tokens")
+
+
 def checksums(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """id, start, n_tokens and the crc32 of the ids as little-endian unsigned 32-bit integers."""
 

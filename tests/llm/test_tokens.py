@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -94,6 +95,36 @@ def test_store_writes_dictionary_pages_and_indexes(spark, table, tmp_path):
                 assert "DELTA_BINARY_PACKED" in c.encodings
 
 
+def test_selective_reads_skip_pages_and_columns(spark, tmp_path):
+    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string"), F.repeat(F.lit(" word"), 30)).alias("text"))
+    path = str(tmp_path / "t")
+    token_store.write(df, path, PATH, shards=1)
+
+    def scanned(rows):
+        """Rows that the file scan gave, before Spark's own filter."""
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan()
+        while plan.children().size():
+            plan = plan.children().apply(0)
+        return plan.metrics().apply("numOutputRows").value(), plan.toString()
+
+    some = token_store.documents(spark, path, 7000, 7010)
+    assert [r["doc_id"] for r in some.orderBy("doc_id").collect()] == list(range(7000, 7011))
+    n, plan = scanned(token_store.documents(spark, path, 7000, 7010))
+    assert 11 <= n <= 2 * token_store.PAGE_ROWS and "PushedFilters" in plan
+    n, plan = scanned(token_store.lengths(spark, path))
+    assert n == 20000 and "ids" not in plan.split("ReadSchema")[1]
+
+
+def test_rows_of_one_id_are_split_over_shards(spark, tmp_path):
+    df = spark.range(4000).select(F.lit(5).cast("bigint").alias("doc_id"), F.concat(F.lit("row "), F.col("id").cast("string")).alias("text"))
+    token_store.write(df, str(tmp_path / "t"), PATH, shards=4)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "t")).groupBy("shard").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    rows = token_store.read(spark, str(tmp_path / "t")).orderBy("start").collect()
+    assert rows[0]["start"] == 0 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:]))
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None), (None, "a b"), (1, "same"), (1, "same")]])
 def test_empty_tables_null_ids_and_repeated_rows(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
