@@ -38,7 +38,7 @@ LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 409
 SAMPLE, COMMON = 50_000, 500_000
 #: Cost of an entry of a list that was not measured. Largest set that may be light; bytes of texts that are looked at for
 #: sets of that size.
-LIST_COST, MOST_LIGHT, SHORT_BYTES = 3, 40, 4096
+LIST_COST, MOST_LIGHT, SHORT_BYTES = 3, 40, 768
 #: Bits of the filter over candidate texts' ids.
 FILTER_BITS = 1 << 26
 
