@@ -11,7 +11,7 @@ their lists.
 
 All members of a list are joined to its least, map tasks first, so a list gives as many rows as members and a hot one
 as many as map tasks to one reducer. The components of these candidates are then verified exactly, each as blocks of
-bounded size; only a forest of the true links and each node's number of links leave a block.
+bounded size, of which only those of sizes that can link meet; only a forest of the true links and each node's number of links leave a block.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from functools import lru_cache
 from itertools import combinations
-from math import comb, exp
+from math import comb, exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from .components import components
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
 #: Least and most texts, and most shingles, of a block of a candidate component. Columns of the overlap product at a
 #: time. Entries held by a map task.
-LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 128, 2048, 1 << 20, 4096, 1 << 19
+LEAST_TEXTS, MOST_TEXTS, BLOCK_SHINGLES, COLUMNS, HELD = 256, 2048, 1 << 20, 4096, 1 << 19
 #: Texts of the sample that frequent shingles are found in, and most of these.
 SAMPLE, COMMON = 50_000, 500_000
 #: Cost of an entry of a list that was not measured. Largest set that may be light; bytes of texts that are looked at for
@@ -433,6 +433,24 @@ def _sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return arrow_map(rows, make, "id bigint, node bigint, own binary", keeps=f"shingles {n}")
 
 
+def _placed(members: DataFrame, part: int, whole: int) -> DataFrame:
+    """Members of candidate components with the band of their size, the number of blocks of their component there, and
+    in the bands before and after.
+
+    Sets that link are in one band or in neighbouring ones, so blocks of other bands never meet. A band is wider than
+    the threshold asks for by a millionth, more than logarithms are off.
+    """
+    width = log(max(whole / part, 1.0001)) * (1 + 1e-6)
+    members = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / width))
+    texts = F.least(F.lit(MOST_TEXTS), F.greatest(F.lit(LEAST_TEXTS), F.sqrt(32.0 * F.count("*"))))
+    blocks = members.groupBy("root", "band").agg(F.greatest(F.ceil(F.count("*") / texts), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    blocks = stored(blocks, "blocks")
+    beside = lambda step, name: blocks.select("root", (F.col("band") - step).alias("band"), F.col("blocks").alias(name))
+    known = blocks.join(beside(1, "blocks_after"), ["root", "band"], "left").join(beside(-1, "blocks_before"), ["root", "band"], "left").fillna(0)
+    known = known.select(anew("root").alias("of"), F.col("band").alias("of_band"), "blocks", "blocks_after", "blocks_before")
+    return members.join(known, (F.col("root") == F.col("of")) & (F.col("band") == F.col("of_band"))).drop("of", "of_band")
+
+
 def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links, its own included), n_links.
 
@@ -454,14 +472,17 @@ def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     # candidates: components of shared subsets and lists, in blocks of bounded size
     candidates = components(found.filter("kind = 2").select("a", "b"), "candidates")
     members = stored(candidates.join(nodes, "node"), "members")
-    texts = F.least(F.lit(MOST_TEXTS), F.greatest(F.lit(LEAST_TEXTS), F.sqrt(32.0 * F.count("*"))))
-    blocks = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / texts), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = _placed(members, part, whole)
     # the small tables first: sets are dealt twice only, by id and by block
-    placed = members.join(blocks.withColumn("of", anew("root")).drop("root"), F.col("root") == F.col("of")).drop("of")
     members = placed.join(_sets(rows.withColumn("text", F.col("text").cast("binary")), members.select("id"), n), ["id", "node"])
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    pairs = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "times", "own")
+    code = lambda band, block: F.shiftleft(band, 32) + block
+    mine, band = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")), F.col("band")
+    others = lambda count, pair: F.transform(F.when(F.col(count) > 0, F.sequence(F.lit(0).cast("long"), F.col(count).cast("long") - 1)).otherwise(F.array().cast("array<bigint>")), pair)
+    pair = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    within = others("blocks", lambda x: pair(code(band, F.least(F.col("mine"), x)), code(band, F.greatest(F.col("mine"), x)), (F.col("mine") > x).cast("int")))
+    after = others("blocks_after", lambda x: pair(code(band, F.col("mine")), code(band + 1, x), F.lit(0)))
+    before = others("blocks_before", lambda x: pair(code(band - 1, x), code(band, F.col("mine")), F.lit(1)))
+    pairs = members.withColumn("mine", mine).select("root", "node", "times", "own", F.inline(F.concat(within, after, before)))
     true = stored(_verified(pairs, part, whole), "links")
     links = true.filter("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     least = nodes.join(components(true.filter("kind = 0").select("a", "b"), "components"), "node", "left").withColumn("root", F.coalesce("root", "node"))
