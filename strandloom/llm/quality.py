@@ -46,15 +46,16 @@ class Network:
         return np.lib.stride_tricks.sliding_window_view(x, WIDTH * DIM, axis=1)[:, :: STRIDE * DIM]
 
     def forward(self, rows: np.ndarray) -> tuple:
+        """Products are taken chunk by chunk: the last bits of a larger one depend on its shape, and with them a chunk's
+        answer would depend on the chunks beside it."""
         x = np.ascontiguousarray(self.windows(rows))
-        n, places, wide = x.shape
-        y = (x.reshape(-1, wide) @ self.p["filters"]).reshape(n, places, FILTERS)
+        y = x @ self.p["filters"]
         top = y.max(1)
         # beside the pooled answers, how full the chunk is: few places give low maxima
         full = (rows != 0).sum(1, dtype=np.float32)[:, None] / CHUNK
         pooled = np.concatenate([np.maximum(top + self.p["shift"], 0), full, np.sqrt(full)], axis=1)
-        hidden = np.tanh(pooled @ self.p["hidden"] + self.p["hidden_shift"])
-        return x, y, top, pooled, hidden, hidden @ self.p["out"] + self.p["out_shift"]
+        hidden = np.tanh((pooled[:, None] @ self.p["hidden"])[:, 0] + self.p["hidden_shift"])
+        return x, y, top, pooled, hidden, (hidden * self.p["out"]).sum(1) + self.p["out_shift"]
 
     def odds(self, rows: np.ndarray) -> np.ndarray:
         return np.concatenate([self.forward(rows[k : k + AT_ONCE])[-1] for k in range(0, len(rows), AT_ONCE)])
