@@ -1,8 +1,10 @@
 """Connected components by alternating stars.
 
-Edges are first contracted within partitions, a bounded number at a time. Each round links every node's larger neighbours, then its smaller ones, to the least of them; every intermediate edge
-set is written to the shared folder. Rounds grow with the logarithm of the number of nodes. A node with very many
-neighbours is no long group: map tasks take minima first, and joins to them can be split (``anew``).
+Edges are first contracted within partitions, a bounded number at a time. Each round links every node's larger
+neighbours, then its smaller ones, to the least of them; every intermediate edge set is written to the shared folder.
+Rounds grow with the logarithm of the number of nodes. A node with very many neighbours is no long group: map tasks take
+minima first, and joins to them can be split (``anew``). As soon as no more than ``HELD`` edges are left, which is what
+any task may hold, one task contracts them all, in place of the rounds that were still to come.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[label]
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
+def _contracted(dealt: DataFrame) -> DataFrame:
     """Each partition's edges, ``HELD`` at a time, as stars around the least nodes: fewer rows than there are nodes."""
 
     def make():
@@ -62,7 +64,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
         each.finish = finish
         return each
 
-    return arrow_map(edges.repartition("a"), make, "a bigint, b bigint", rows=1 << 20)
+    return arrow_map(dealt, make, "a bigint, b bigint", rows=1 << 20)
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -80,14 +82,17 @@ def _star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, what: str) -> DataFrame:
     """node and root (the least node that it reaches) of all nodes of an edge list a, b of integers; loops are dropped."""
     spark = edges.sparkSession
-    now = stored(_contracted(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct(), f"{what}-0")
+    edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = stored(_contracted(edges.repartition("a")).distinct(), f"{what}-0")
     state = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     before, k = state(now), 0
-    while before[0]:
+    while before[0] > HELD:
         k += 1
         after = stored(_star(now), f"{what}-{k}")
         if (reached := state(after)) == before:
             break
         forget(spark, now)
         now, before = after, reached
+    if 0 < before[0] <= HELD:
+        now = stored(_contracted(now.repartition(1)), f"{what}-last")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
