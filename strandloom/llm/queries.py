@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, lang_id, lm, ngram_jaccard, quality, secrets, token_count, token_store
+from . import ann, bpe, decontam, filter_audit, lang_id, lm, ngram_jaccard, packing, quality, secrets, token_count, token_store, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.checksums(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), window=1024, end_id=0))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
@@ -80,7 +92,25 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+# every order of the filters is applied to each kind of document, and the first filter that it fails takes it
+OP12 = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic,
+ [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails
+ FROM w LEFT JOIN marks USING (doc_id)),
+kinds AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+met AS (SELECT *, [fails[ascii(substr(filter_order, i, 1)) - 64] for i in range(1, 6)] AS seen FROM kinds, orders),
+steps AS (SELECT *, coalesce(list_position(seen, true), 6) AS out, unnest([1, 2, 3, 4, 5]) AS step FROM met),
+counted AS (SELECT part, filter_order, step, sum(n) FILTER (out > step) AS kept, sum(n) FILTER (out = step) AS removed, sum(n) FILTER (seen[step] AND out < step) AS redundant,
+ sum(n) FILTER (seen[step] AND len([x for x in seen if x]) = 1) AS unique_fails, sum(n * good) FILTER (out = step) AS good_lost, sum(n * toxic) FILTER (out = step) AS toxic_lost FROM steps GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+ coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, (sum(coalesce(removed, 0)) OVER (PARTITION BY part, substr(filter_order, step, 1)))::BIGINT AS shapley FROM counted"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Of the others, merges, learned models and digests over code-point spans are beyond SQL, and approximate
     neighbours differ from exact ones: tests/llm holds them against brute force."""
-    return {"op2_ngram_jaccard": OP2, "op10_decontamination": OP10}
+    return {"op2_ngram_jaccard": OP2, "op10_decontamination": OP10, "op12_filter_audit": OP12}
