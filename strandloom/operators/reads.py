@@ -19,15 +19,27 @@ def skipped_reads(rows: DataFrame, least: int) -> DataFrame:
     return rows.agg(F.count_if(F.length("seq") < least).alias("skipped"))
 
 
+#: Into how many first rounds the names of one sequence are dealt, by map task.
+ROUNDS = 64
+
+
 def distinct_reads(reads: DataFrame) -> DataFrame:
     """seq, n and names: equal sequences in one row, with their names' first tokens in the order of whole names.
 
-    Names beyond the limit are cut, so of a sequence that very many reads share only the first names are ever
-    gathered: each takes at least its separator.
+    Names beyond the limit are cut, so of a sequence only its first names can show: each takes its separator at least.
+    They are found in two rounds, first among those of some map tasks, then among what these rounds leave; before
+    either shuffle Spark lets no task send more than the limit. Reads without a name count, and show nothing.
     """
-    counts = reads.groupBy("seq").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("seq").orderBy("name"))
-    first = reads.withColumn("rank", rank).filter(F.col("rank") <= NAME_LIMIT + 5)
-    names = first.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("name", "rank"))).alias("all"))
-    names = names.select("seq", shortened(F.array_join(F.transform("all", lambda x: first_token(x["name"])), ";")).alias("names"))
-    return counts.join(names, "seq")
+    counts = reads.groupBy("seq").agg(F.count("*").alias("n"), F.count("name").alias("named"), F.max("name").alias("last"))
+    first = reads.filter("name is not null").select("seq", "name", (F.spark_partition_id() % ROUNDS).alias("round"))
+    for by in (("seq", "round"), ("seq",)):
+        # Spark drops rows before the shuffle for limits of up to 1,000
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("name"))
+        first = first.withColumn("rank", rank).filter(F.col("rank") <= NAME_LIMIT).drop("rank")
+    names = first.groupBy("seq").agg(F.array_sort(F.collect_list("name")).alias("all"))
+    rows = counts.join(names, "seq", "left")
+    # beyond the limit one more name can be decisive if all before it are empty; two more always are
+    more = F.when(F.col("named") > NAME_LIMIT + 1, ";;").when(F.col("named") > NAME_LIMIT, F.concat(F.lit(";"), first_token(F.col("last")))).otherwise("")
+    joined = F.concat(F.array_join(F.transform(F.coalesce("all", F.array().cast("array<string>")), first_token), ";"), more)
+    # named once, so that it is joined once
+    return rows.select("seq", "n", F.transform(F.array(joined), shortened)[0].alias("names"))

@@ -1,4 +1,4 @@
-"""Windows of reads, and every window of the targets."""
+"""Windows of reads, and stretches of targets in which windows are looked for."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import dinucleotides
 
-#: Window starts in a tile of a target.
-STRIDE = 256
+#: Letters of a target's stretch: longer targets are cut.
+STRETCH = 1 << 16
 
 
 def read_windows(reads: DataFrame, starts: Sequence[int], width: int, min_dinuc: int = 0) -> DataFrame:
@@ -35,28 +35,24 @@ def window_counts(reads: DataFrame, starts: Sequence[int], width: int, strict: b
     return counts
 
 
-def tiles(targets: DataFrame, width: int, longest: int = 0) -> DataFrame:
-    """tnum, start, tile: stretches in which each window of a target begins exactly once, with all of any read of at
-    most ``longest`` letters that begins there.
+def stretches(targets: DataFrame, width: int, before: int = 0, after: int = 0, letters: int = STRETCH) -> DataFrame:
+    """tnum, start, lead, text: stretches of targets in which each window begins exactly once, at or after ``start``,
+    which is letter ``lead`` of the text; with ``before`` letters to the left of it and ``after`` beyond its end, as far
+    as the target goes.
 
-    Offsets in a long text cost time in proportion, so a target is cut once, from left to right, and windows and reads
-    are looked up in tiles only; targets shorter than a window have none.
+    A target of at most ``letters`` letters is one stretch and stays as it is; a longer one is cut once, from left to
+    right, because offsets in a long text cost time in proportion. Targets shorter than a window have none.
     """
-    more = max(width, longest) - 1
-    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{STRIDE}}}"), F.lit(0))
-    each = F.transform("pieces", lambda _, i: F.substring(F.array_join(F.slice("pieces", i + 1, F.lit(2 + more // STRIDE)), ""), 1, STRIDE + more))
-    rows = targets.filter(F.length("seq") >= width).select("tnum", pieces.alias("pieces"))
-    rows = rows.select("tnum", F.posexplode(each).alias("i", "tile")).filter(F.length("tile") >= width)
-    return rows.select("tnum", (F.col("i") * STRIDE).alias("start"), "tile")
-
-
-def target_windows(cut: DataFrame, width: int) -> DataFrame:
-    """tnum, p, key of every window of the tiles."""
-    last = F.least(F.length("tile") - width, F.lit(STRIDE - 1))
-    rows = cut.select("tnum", "start", "tile", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    return rows.select("tnum", (F.col("start") + F.col("i")).alias("p"), F.substr("tile", F.col("i") + 1, F.lit(width)).alias("key"))
+    size = max(letters, before, width + after)
+    cuts = F.when(F.length("seq") > size, F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)))
+    rows = targets.filter(F.length("seq") >= width).select("tnum", "seq", cuts.alias("cuts"))
+    piece = lambda start, lead, text: F.struct(start.cast("long").alias("start"), lead.cast("int").alias("lead"), text.alias("text"))
+    other = lambda i: F.coalesce(F.get("cuts", i), F.lit(""))
+    cut = F.transform("cuts", lambda c, i: piece(i * size, F.when(i > 0, before).otherwise(0), F.concat(F.right(other(i - 1), F.lit(before)), c, F.left(other(i + 1), F.lit(width - 1 + after)))))
+    whole = F.array(piece(F.lit(0), F.lit(0), F.col("seq")))
+    return rows.select("tnum", F.inline(F.when(F.col("cuts").isNull(), whole).otherwise(cut)))
 
 
 def fill_estimate(windows: DataFrame, bits: int, hashes: int) -> DataFrame:
-    """k, n_keys and fill: how full a Bloom filter of each window's keys would be."""
+    """k, n_keys and fill: how full a Bloom filter of each window's keys would be, by the usual formula."""
     return windows.groupBy("k").agg(F.count_distinct("key").alias("n_keys")).withColumn("fill", 1 - F.exp(-F.lit(float(hashes)) * F.col("n_keys") / F.lit(float(bits))))

@@ -9,13 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import combine, matching, reads, results, targets, windows
+from ..operators import combine, matching, reads, results, scan, targets, windows
 from ..sources import files
 from .config import MatchConfig
 from .staging import staged, work_dir
 
-#: Letters of the targets that a task looks for windows in.
-TASK_LETTERS = 8 << 20
 STAGES = ("reads", "windows", "sorted windows", "candidates", "sorted candidates", "matches", "best", "sorted best", "named", "result", "nonmatch")
 
 
@@ -28,12 +26,12 @@ def prepare(spark: SparkSession, path: str, reverse: bool = False) -> tuple[str,
 class Run:
     """The stages of one run, each computed when it is asked for or read if the run starts after it."""
 
-    def __init__(self, spark: SparkSession, config: MatchConfig, raw_reads: DataFrame, target_rows: DataFrame, start: int = 0, compat: bool = False) -> None:
+    def __init__(self, spark: SparkSession, config: MatchConfig, raw_reads: DataFrame, target_rows: DataFrame, start: int = 0, compat: bool = False, key_bytes: int = scan.KEY_BYTES) -> None:
         if not 0 <= start < len(STAGES):
             raise ValueError(f"stages are 0 to {len(STAGES) - 1}")
         if start and not config.TempDir:
             raise ValueError("to start at a later stage, TempDir must name the folder of an earlier run")
-        self.spark, self.config, self.start, self.compat = spark, config, start, compat
+        self.spark, self.config, self.start, self.compat, self.key_bytes = spark, config, start, compat, key_bytes
         self.raw, self.targets, self.dir, self.done = raw_reads, target_rows, work_dir(spark, config.TempDir), {}
 
     def _stage(self, name: str, make) -> DataFrame:
@@ -50,27 +48,23 @@ class Run:
         c = self.config
         return self._stage("windows", lambda: windows.read_windows(self.reads(), c.Windows, c.WindowWidth, c.MinDinuc))
 
-    def tiles(self) -> DataFrame:
-        """The targets in tiles, dealt evenly: one target may be longer than all others together."""
-        if "tiles" not in self.done:
-            c = self.config
-            letters = self.targets.agg(F.sum("tlen")).first()[0] or 0
-            parts = max(self.spark.sparkContext.defaultParallelism, -(-letters // TASK_LETTERS))
-            self.done["tiles"] = staged(windows.tiles(self.targets, c.WindowWidth, c.MaxReadLength).repartition(parts, "tnum", "start"), f"{self.dir}/tiles")
-        return self.done["tiles"]
-
     def candidates(self) -> DataFrame:
+        """tnum, p, key, and of the target what the longest read covers: nothing has to be joined with targets later."""
         c = self.config
-        return self._stage("candidates", lambda: matching.candidates(self.tiles(), self.windows(), c.WindowWidth))
+        before, after = max(c.Windows), max(0, c.MaxReadLength - c.WindowWidth - min(c.Windows))
+        return self._stage("candidates", lambda: scan.candidates(self.targets, self.windows(), c.WindowWidth, before, after, c.BloomSize, c.NumHash, self.dir, self.key_bytes))
 
     def all_matches(self) -> DataFrame:
         """Verified matches before the limit on matches of a window."""
-        pairs = matching.window_pairs(self.candidates(), self.windows())
-        return matching.verified(pairs, self.tiles(), self.config.PMatch, self.config.WindowWidth, self.compat)
+        return matching.verified(matching.window_pairs(self.candidates(), self.windows()), self.config.PMatch, self.config.WindowWidth, self.compat)
+
+    def _hot_keys(self) -> DataFrame | None:
+        hot = staged(matching.hot_keys(self.candidates(), self.windows()), f"{self.dir}/hot keys")
+        return None if hot.isEmpty() else hot
 
     def matches(self) -> DataFrame:
         c = self.config
-        return self._stage("matches", lambda: matching.limited(self.all_matches(), c.MatchMode or "first", c.MaxMatches, c.WindowWidth, c.MaxReadLength, self.compat).drop("tail"))
+        return self._stage("matches", lambda: matching.best_of_windows(self.candidates(), self.windows(), self._hot_keys(), c.PMatch, c.WindowWidth, c.MatchMode or "first", c.MaxMatches, c.MaxReadLength, self.compat).drop("tail"))
 
     def best(self) -> DataFrame:
         return self._stage("best", lambda: combine.best_per_read(combine.distinct_matches(self.matches()), self.config.MMTol))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
-from ..operators import combine, reads, results, targets, windows
+from ..operators import combine, reads, results, scan, targets, windows
 from ..sources import files
 from .config import MatchConfig
 from .pipeline import Run
@@ -60,8 +60,8 @@ def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(name.alias("name"), F.when(F.col("item_id") % 2 == 1, changed).otherwise(F.col("seq")).alias("seq"))
 
 
-def a_run(spark: SparkSession, sf_dir: str, **other) -> Run:
-    run = Run(spark, CONFIG.overridden(**other), raw_reads(spark, sf_dir), None)
+def a_run(spark: SparkSession, sf_dir: str, key_bytes: int = scan.KEY_BYTES, **other) -> Run:
+    run = Run(spark, CONFIG.overridden(**other), raw_reads(spark, sf_dir), None, key_bytes=key_bytes)
     # encoded once: else each window of a target would encode it anew
     run.targets = staged(match_targets(spark, sf_dir), f"{run.dir}/targets")
     return run
@@ -133,8 +133,21 @@ def bloom_fill(spark, sf_dir):
     return rows.select("k", "n_keys", F.round("fill", 9).alias("fill"))
 
 
+def measured_fill(spark, sf_dir):
+    """How full the windows' filters are by their bits, and whether the formula of ``bloom_fill`` says so within 1 %."""
+    found = windows.read_windows(read_dedup(spark, sf_dir), STARTS, WIDTH, DINUC)
+    rows = scan.measured_fill(found, WIDTH, CONFIG.BloomSize, CONFIG.NumHash)
+    wanted = 1 - F.exp(-F.lit(float(CONFIG.NumHash)) * F.col("n_keys") / F.lit(float(CONFIG.BloomSize)))
+    return rows.select("k", "n_keys", (F.abs(F.col("fill") - wanted) <= 0.01 * wanted).alias("as_estimated"))
+
+
 def kmer_candidates(spark, sf_dir):
-    return a_run(spark, sf_dir).candidates()
+    return a_run(spark, sf_dir).candidates().select("tnum", "p", "key")
+
+
+def filtered_candidates(spark, sf_dir):
+    """The same through the filter that takes the place of a table of too many read windows."""
+    return a_run(spark, sf_dir, key_bytes=0).candidates().select("tnum", "p", "key")
 
 
 def verified_matches(spark, sf_dir):
@@ -232,7 +245,7 @@ def nonmatch_lines(spark, sf_dir):
 
 
 _NAMES = (
-    "fastq_scan", "fasta_scan", "text_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "kmer_candidates",
+    "fastq_scan", "fasta_scan", "text_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
     "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets",
 )
 
@@ -269,7 +282,7 @@ starts AS (SELECT * FROM (VALUES {', '.join(f'({k}, {q})' for k, q in enumerate(
 win AS (SELECT k, q, substr(seq, q + 1, {WIDTH}) AS key, seq FROM reads, starts WHERE length(seq) >= q + {WIDTH} AND {_varied(f'substr(seq, q + 1, {WIDTH})')} >= {DINUC})"""
 _CANDIDATES = f"""{_MATCH_TARGETS},
 {_WINDOWS},
-tiles AS (SELECT tnum, s, substr(seq, s + 1, {windows.STRIDE + WIDTH - 1}) AS tile FROM (SELECT tnum, seq, unnest(range(0, tlen - {WIDTH} + 1, {windows.STRIDE})) AS s FROM t WHERE tlen >= {WIDTH})),
+tiles AS (SELECT tnum, s, substr(seq, s + 1, {256 + WIDTH - 1}) AS tile FROM (SELECT tnum, seq, unnest(range(0, tlen - {WIDTH} + 1, 256)) AS s FROM t WHERE tlen >= {WIDTH})),
 kmers AS (SELECT tnum, s + i AS p, substr(tile, i + 1, {WIDTH}) AS key FROM (SELECT tnum, s, tile, unnest(range(0, length(tile) - {WIDTH} + 1)) AS i FROM tiles)),
 cand AS (SELECT tnum, p, key FROM kmers WHERE key IN (SELECT key FROM win))"""
 _ALL = f"""{_CANDIDATES},
@@ -315,7 +328,9 @@ def oracle_sql() -> dict[str, str]:
         "read_windows": f'WITH {_WINDOWS} SELECT k, q, key, substr(seq, 1, q) AS "left", substr(seq, q + {WIDTH} + 1) AS "right", seq FROM win',
         "window_counts": f"WITH {_WINDOWS} SELECT k, count(*) FILTER (length(seq) >= q + {WIDTH}) AS n_reads FROM reads, starts GROUP BY k",
         "bloom_fill": f"WITH {_WINDOWS} SELECT k, count(DISTINCT key) AS n_keys, round(1 - exp(-{CONFIG.NumHash}.0 * count(DISTINCT key) / {CONFIG.BloomSize}.0), 9) AS fill FROM win GROUP BY k",
+        "measured_fill": f"WITH {_WINDOWS} SELECT k, count(DISTINCT key) AS n_keys, true AS as_estimated FROM win GROUP BY k",
         "kmer_candidates": f"WITH {_CANDIDATES} SELECT tnum, p, key FROM cand",
+        "filtered_candidates": f"WITH {_CANDIDATES} SELECT tnum, p, key FROM cand",
         "verified_matches": f"WITH {_ALL} SELECT k, q, key, seq, tnum, pos, tseq, nmiss FROM every",
         "topk_first": f"WITH {_limited('first', 1)} {matched}",
         "topk_best": f"WITH {_limited('best', 1)} {matched}",

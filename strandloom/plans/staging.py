@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or the warehouse where that is not set.
 
-    On a cluster a warehouse on local disks would be another folder on each machine, so it is an error there.
+    On a cluster a warehouse on local disks would be another folder on each machine, so it is an error there. A
+    checkpoint folder is taken as it is given: a mounted disk that all machines share also begins with file.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -21,6 +28,23 @@ def shared(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a Spark application, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strandloom_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    # the driver serves this file to the executors as long as it lives
+    d = os.path.realpath(tempfile.mkdtemp())
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    zipped = Path(d) / "strandloom.zip"
+    with zipfile.ZipFile(zipped, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(zipped))
+    sc._strandloom_shipped = True
+
+
 def work_dir(spark: SparkSession, given: str = "") -> str:
     """The given folder, or a new one in the shared folder.
 

@@ -148,6 +148,28 @@ def test_names_of_a_sequence_that_very_many_reads_share(spark):
     assert row["n"] == 5000 and row["names"] == ";".join(f"@{k:06d}" for k in range(5000))[:995] + "..."
 
 
+@pytest.mark.parametrize("n", [999, 1000, 1001, 1002, 1500])
+@pytest.mark.parametrize("filled", [0, 1, 2, 400, 2000])
+def test_names_at_the_limit(spark, n, filled):
+    """Names without a token come first and show as separators alone: up to 1,000 letters stay whole."""
+    names = ["" for _ in range(max(0, n - filled))] + [f"@{k} x" for k in range(min(n, filled))]
+    raw = spark.createDataFrame([(x, "ACGT") for x in names] + [(None, "ACGT"), (None, "GG")], "name string, seq string").repartition(5)
+    got = {r["seq"]: (r["n"], r["names"]) for r in reads.distinct_reads(raw).collect()}
+    joined = ";".join(x.split(" ")[0] for x in sorted(names))
+    assert got == {"ACGT": (n + 1, joined if len(joined) <= 1000 else joined[:995] + "..."), "GG": (1, "")}
+
+
+def test_a_hot_read_sends_few_names(spark):
+    """Each map task sends at most the limit's names of a sequence, in both rounds."""
+    raw = spark.range(0, 10**6, numPartitions=16).select(F.concat(F.lit("@"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("name"), F.when(F.col("id") < 10**6, "ACGT").otherwise("C").alias("seq"))
+    df = reads.distinct_reads(raw)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    partial = [line for line in plan.splitlines() if "WindowGroupLimit" in line and "Partial" in line]
+    assert len(partial) == 2 and all("1000, Partial" in line for line in partial)
+    row = df.first()
+    assert row["n"] == 10**6 and row["names"] == ";".join(f"@{k:07d}" for k in range(200))[:995] + "..."
+
+
 def test_window_counts(spark):
     rows = spark.createDataFrame([("ACGTACGT",), ("ACGT",)], "seq string")
     assert [tuple(r) for r in windows.window_counts(rows, (0, 4, 9), 4).orderBy("k").collect()] == [(0, 2), (1, 1), (2, 0)]
@@ -155,39 +177,6 @@ def test_window_counts(spark):
         windows.window_counts(rows, (9,), 4, strict=True).collect()
 
 
-def test_a_large_window_table_is_joined_without_broadcast(spark):
-    from strandloom.operators import matching
-
-    run = a_run(spark, READS, GENES)
-    cut = windows.tiles(run.targets, 4)
-    assert sorted(matching.candidates(cut, run.windows(), 4, limit=0).collect()) == sorted(matching.candidates(cut, run.windows(), 4).collect())
-
-
-def test_the_filter_of_a_large_window_table(spark):
-    from strandloom.operators import matching
-
-    keys = spark.range(3000).select(F.sha1(F.col("id").cast("string")).alias("key"))
-    bits, buckets = matching.key_filter(keys, 3000)
-    rows = spark.range(40000).select(F.sha1(F.col("id").cast("string")).alias("key"))
-    got = matching.passed(rows, bits, buckets)
-    assert got.join(keys, "key", "left_semi").count() == 3000  # none is lost
-    assert got.count() < 3000 + 0.05 * 37000
-    run = a_run(spark, READS, GENES)
-    plan = matching.candidates(run.tiles(), run.windows(), 4, limit=0)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "getbit" in plan.lower()
-    assert matching.key_filter(keys.limit(0), 0)[1] == 1 and matching.passed(rows, *matching.key_filter(keys.limit(0), 0)).count() == 0
-
-
-def test_tiles_hold_reads_and_windows_of_any_length(spark):
-    rng = random.Random(3)
-    rows = [(f"g{k}", "".join(rng.choice("ACGT") for _ in range(n))) for k, n in enumerate([3, 255, 256, 257, 511, 512, 513, 2000])]
-    for width, longest in ((4, 0), (4, 300), (300, 700)):
-        cut = windows.tiles(target_table(spark, rows), width, longest)
-        got = sorted((r["tnum"], r["p"], r["key"]) for r in windows.target_windows(cut, width).collect())
-        assert got == sorted((k, p, s[p : p + width]) for k, (_, s) in enumerate(rows) for p in range(len(s) - width + 1))
-        assert all(r["tile"] == rows[r["tnum"]][1][r["start"] : r["start"] + windows.STRIDE + max(width, longest) - 1] for r in cut.collect())
-
-
 def test_prepared_targets_in_framed_text(spark, tmp_path):
     from strandloom.sources import files
 
