@@ -19,7 +19,7 @@ from ..operators import combine, reads, results, scan, targets, windows
 from ..sources import files
 from .config import MatchConfig
 from .pipeline import Run
-from .staging import staged, work_dir
+from .staging import spread, staged, work_dir
 
 _CYCLE = ("ACGT" * 13)[:52]
 WIDTH, STARTS, SHARE, LEAST, MOST, DINUC, MATCHES, TOLERANCE = 20, (0, 15, 30, 45), 0.9, 60, 100, 6, 3, 0
@@ -37,7 +37,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def target_rows(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
-    rows = _table(spark, sf_dir, "documents").filter("text is not null")
+    rows = spread(_table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", "text"))
     rows = rows.select(F.col("doc_id").alias("number"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), encoded(F.col("text")).alias("seq"))
     return targets.prepare_targets(rows, reverse)
 

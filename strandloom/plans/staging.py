@@ -61,3 +61,9 @@ def work_dir(spark: SparkSession, given: str = "") -> str:
 def staged(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows as they are scanned, or dealt anew where a few files or row groups would leave most cores idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
