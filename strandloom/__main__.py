@@ -1,4 +1,4 @@
-"""python -m strandloom match --ConfigFileName FILE [--StartPoint N] [--Setting VALUE ...], or prepare [--rev] FILE."""
+"""python -m strandloom match --ConfigFileName FILE [--StartPoint N] [--Setting VALUE ...], or prepare [--rev] [--sz] FILE."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ def main(args: list[str] | None = None) -> None:
     commands = parser.add_subparsers(dest="command", required=True)
     prepare = commands.add_parser("prepare")
     prepare.add_argument("--rev", action="store_true")
+    prepare.add_argument("--sz", action="store_true", help="write snappy-framed text in place of Parquet")
     prepare.add_argument("file")
     match = commands.add_parser("match")
     match.add_argument("--ConfigFileName", default="")
@@ -26,7 +27,7 @@ def main(args: list[str] | None = None) -> None:
     given = parser.parse_args(args)
     spark = SparkSession.builder.appName("strandloom").getOrCreate()
     if given.command == "prepare":
-        print(*pipeline.prepare(spark, given.file, given.rev))
+        print(*pipeline.prepare(spark, given.file, given.rev, given.sz))
         return
     flags = {f.name: getattr(given, f.name) for f in fields(MatchConfig)}
     config = MatchConfig.load(given.ConfigFileName, **flags) if given.ConfigFileName else MatchConfig().overridden(**flags)

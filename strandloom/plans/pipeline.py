@@ -17,10 +17,10 @@ from .staging import staged, work_dir
 STAGES = ("reads", "windows", "sorted windows", "candidates", "sorted candidates", "matches", "best", "sorted best", "named", "result", "nonmatch")
 
 
-def prepare(spark: SparkSession, path: str, reverse: bool = False) -> tuple[str, str]:
-    """Prepares a target file and returns where the two tables are."""
+def prepare(spark: SparkSession, path: str, reverse: bool = False, framed_text: bool = False) -> tuple[str, str]:
+    """Prepares a target file and returns where the two tables, or texts in the snappy framing format, are."""
     by_line = not files.is_fasta(path)
-    return files.write_targets(targets.prepare_targets(files.read_targets(spark, path), reverse, by_line), path)
+    return files.write_targets(targets.prepare_targets(files.read_targets(spark, path), reverse, by_line), path, framed_text)
 
 
 class Run:

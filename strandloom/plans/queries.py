@@ -214,9 +214,9 @@ def fastq_scan(spark, sf_dir):
 
 
 def _target_file(spark, sf_dir, end: str, line: Column) -> DataFrame:
-    """The texts, written as one target file in the order of their ids, read again and prepared: a file has one order."""
+    """The texts, written as parts of a target file in the order of their ids, read again and prepared."""
     path = f"{work_dir(spark)}/genes.{end}"
-    rows = target_rows(spark, sf_dir).filter("tlen > 0").repartitionByRange(1, "tnum").sortWithinPartitions("tnum")
+    rows = target_rows(spark, sf_dir).filter("tlen > 0").orderBy("tnum")
     rows.select(line.alias("value")).write.text(path)
     return targets.prepare_targets(files.read_targets(spark, path), reverse=True, by_line=not files.is_fasta(path)).select(S.padded_number(F.col("id_num")).alias("id_num"), "tnum", "name", "seq", "tlen")
 
@@ -230,6 +230,13 @@ def text_scan(spark, sf_dir):
     return _target_file(spark, sf_dir, "txt", F.concat_ws("\t", "name", "seq"))
 
 
+def framed_scan(spark, sf_dir):
+    """The prepared targets with their reverse strands, written as two framed texts and read again by place."""
+    rows = targets.prepare_targets(target_rows(spark, sf_dir).filter("tlen > 0").select(F.col("tnum").alias("number"), "name", "seq"), reverse=True)
+    sequences, ids = files.write_targets(rows, f"{work_dir(spark)}/genes.txt", framed_text=True)
+    return files.read_prepared(spark, sequences, ids)
+
+
 def result_lines(spark, sf_dir):
     """The lines of a written result."""
     path = f"{work_dir(spark)}/result.txt"
@@ -245,7 +252,7 @@ def nonmatch_lines(spark, sf_dir):
 
 
 _NAMES = (
-    "fastq_scan", "fasta_scan", "text_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
+    "fastq_scan", "fasta_scan", "text_scan", "framed_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
     "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets",
 )
 
@@ -312,6 +319,7 @@ def oracle_sql() -> dict[str, str]:
         "fastq_scan": f"WITH {_RAW} SELECT name, seq FROM raw",
         "fasta_scan": f"{filed} {both.format(padded('2 * number'), 'number', chr(39) + '>' + chr(39), padded('2 * number + 1'))}",
         "text_scan": f"{filed} {both.format(padded('number'), 'number', chr(39) * 2, padded('number'))}",
+        "framed_scan": f"{filed}, b AS (SELECT tnum, 0 AS r, name, seq, tlen FROM (SELECT number AS tnum, name, seq, tlen FROM f) UNION ALL SELECT number, 1, name || '_r', translate(reverse(seq), 'ACGT', 'TGCA'), tlen FROM f) SELECT row_number() OVER (ORDER BY tnum, r) - 1 AS tnum, name, seq, tlen FROM b",
         "result_lines": f"WITH {_BEST} SELECT concat_ws(chr(9), seq, tseq, pos, nmiss, name, tlen, n, names) AS line FROM result",
         "nonmatch_lines": f"WITH {_BEST} SELECT names AS name, seq FROM reads WHERE seq NOT IN (SELECT seq FROM result)",
         "subx": "SELECT doc_id, regexp_replace(text, '[^ACGT]', 'X', 'g') AS seq FROM documents",

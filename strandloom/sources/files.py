@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-import struct
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequences import padded_number
+from ..plans.staging import ship
+from . import stores
+from .fastq import FastqSource
+from .framing import FramedSource, framed, unframed
+
+__all__ = ["framed", "unframed"]
+
+
+def _source(spark: SparkSession, kind: type) -> str:
+    """The name of a data source of this package, which the session knows from now on."""
+    ship(spark)
+    known = spark.__dict__.setdefault("_strandloom_sources", set())
+    if kind.name() not in known:
+        spark.dataSource.register(kind)
+        known.add(kind.name())
+    return kind.name()
+
 
-def numbered(df: DataFrame, keep: Column | None = None) -> DataFrame:
-    """Rows of a text scan with ``file`` and ``number``: their place among the file's (kept) rows, from 0.
+def numbered(df: DataFrame, keep: Column | None = None, across: bool = False) -> DataFrame:
+    """Rows of a text scan with ``file`` and ``number``: their place among the file's (kept) rows, from 0; with
+    ``across`` among those of all files, in the order of their names.
 
     A split knows its offset in the file and reads in order, so places are counted within splits, and the splits'
     totals, one row each, give where each begins. Nothing depends on how splits are dealt to tasks. Without ``keep``
@@ -24,75 +40,53 @@ def numbered(df: DataFrame, keep: Column | None = None) -> DataFrame:
     else:  # ids of a task's rows are consecutive
         rows = rows.withColumn("place", F.col("at"))
         totals = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).drop("n", "first")
+    return _placed(rows, totals, across).drop("at")
+
+
+def _placed(rows: DataFrame, totals: DataFrame, across: bool) -> DataFrame:
+    """Numbers from places in splits (file, block) and the splits' numbers of rows."""
+    order = Window.orderBy("file", "block") if across else Window.partitionBy("file").orderBy("block")
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.withColumn("start", F.coalesce(before, F.lit(0)) - F.col("first")).drop("n", "first")
     # the number of splits is bounded by the scan's tasks, so this side is small; sizes decide how it is joined
-    return rows.join(totals, ["file", "block"]).withColumn("number", F.col("start") + F.col("place")).drop("block", "at", "place", "start")
+    return rows.join(totals, ["file", "block"]).withColumn("number", F.col("start") + F.col("place")).drop("block", "place", "start")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
+def lines(spark: SparkSession, path: str, across: bool = False) -> DataFrame:
     """value of each line of text files; files that end in .sz are in the snappy framing format."""
-    if path.endswith(".sz"):
-        return framed_lines(spark, path)
-    return numbered(spark.read.text(path))
-
-
-def unframed(data: bytes) -> bytes:
-    """The content of a stream in the public snappy framing format; check sums are not tested."""
-    out, at = [], 0
-    while at + 4 <= len(data):
-        kind, size = data[at], int.from_bytes(data[at + 1 : at + 4], "little")
-        body = data[at + 8 : at + 4 + size]  # after a check sum
-        if kind == 0:
-            length, shift, k = 0, 0, 0
-            while True:
-                length |= (body[k] & 127) << shift
-                shift, k = shift + 7, k + 1
-                if body[k - 1] < 128:
-                    break
-            out.append(pa.Codec("snappy").decompress(body, decompressed_size=length, asbytes=True))
-        elif kind == 1:
-            out.append(body)
-        elif 2 <= kind <= 127:
-            raise ValueError(f"unknown chunk {kind}")
-        at += 4 + size
-    return b"".join(out)
-
-
-def framed(data: bytes) -> bytes:
-    """A stream in the snappy framing format, of uncompressed chunks with masked CRC-32C sums."""
-    out = [b"\xff\x06\x00\x00sNaPpY"]
-    for k in range(0, len(data), 65536):
-        part = data[k : k + 65536]
-        crc = 0xFFFFFFFF
-        for b in part:
-            crc ^= b
-            for _ in range(8):
-                crc = crc >> 1 ^ (0x82F63B78 & -(crc & 1))
-        crc ^= 0xFFFFFFFF
-        masked = ((crc >> 15 | crc << 17) + 0xA282EAD8) & 0xFFFFFFFF
-        out.append(b"\x01" + (len(part) + 4).to_bytes(3, "little") + struct.pack("<I", masked) + part)
-    return b"".join(out)
-
-
-def framed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of framed files with file and number. Such a file can't be split: one task reads it."""
-
-    def each(batches):
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = unframed(content).decode().split("\n")
-                text = text[:-1] if text[-1] == "" else text
-                yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array([file] * len(text), pa.string()), pa.array(range(len(text)), pa.int64())], names=["value", "file", "number"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(each, "value string, file string, number bigint")
-
-
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    if path.rstrip("/").endswith(".sz"):
+        return framed_lines(spark, path, across)
+    return numbered(spark.read.text(path), across=across)
+
+
+def framed_lines(spark: SparkSession, path: str, across: bool = False, range_bytes: int | None = None) -> DataFrame:
+    """Lines of framed files (or of a folder of them) with file and number, read in ranges of chunks."""
+    reader = spark.read.format(_source(spark, FramedSource))
+    rows = (reader.option("rangeBytes", range_bytes) if range_bytes else reader).load(path)
+    totals = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("first"))
+    return _placed(rows, totals, across)
+
+
+def write_framed(rows: DataFrame, path: str) -> None:
+    """The column ``value`` as lines of parts in the framing format, in the order of the rows; replaces what was there."""
+    rows.select("value").write.format(_source(rows.sparkSession, FramedSource)).mode("overwrite").save(path)
+
+
+def read_fastq(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
     """name (the whole header line) and seq of four-line records; an incomplete last record is left out.
 
-    Only headers and sequences are dealt by record, with a mark of the last line for the record's completeness.
+    Files are read in ranges that begin at a record (see ``fastq``); framed files, and those in stores that only Spark
+    reads, line by line.
     """
+    if path.rstrip("/").endswith(".sz") or not stores.reachable(path):
+        return fastq_by_lines(spark, path)
+    reader = spark.read.format(_source(spark, FastqSource))
+    return (reader.option("rangeBytes", range_bytes) if range_bytes else reader).load(path)
+
+
+def fastq_by_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same by the numbers of lines: headers and sequences are dealt by record, with a mark of the last line for the
+    record's completeness."""
     line = (F.col("number") % 4).cast("int")
     rows = lines(spark, path).select("file", F.floor(F.col("number") / 4).alias("record"), line.alias("line"), F.when(line < 2, F.col("value")).alias("value")).filter("line <> 2")
     records = rows.groupBy("file", "record").agg(F.max(F.when(F.col("line") == 0, F.col("value"))).alias("name"), F.max(F.when(F.col("line") == 1, F.col("value"))).alias("seq"), F.max("line").alias("last"))
@@ -107,15 +101,19 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """number, name (the whole header line with its >) and seq (its lines in one); headers without a sequence don't count."""
     text = F.regexp_replace(F.col("value"), "^>", "")
     seq = F.regexp_replace(F.regexp_replace(text, r"^[^\n]*(\n|$)", ""), r"[\r\n]", "")
-    rows = numbered(spark.read.text(path, lineSep="\n>"), seq != "")
+    rows = numbered(spark.read.text(path, lineSep="\n>"), seq != "", across=True)
     return rows.select("number", F.concat(F.lit(">"), F.regexp_replace(F.substring_index(text, "\n", 1), "\r", "")).alias("name"), seq.alias("seq"))
 
 
 def read_text_targets(spark: SparkSession, path: str) -> DataFrame:
-    """number, name and seq of tab-separated lines up to the first empty one; a line without a tab is an error."""
-    rows = lines(spark, path)
-    first_empty = rows.filter("value = ''").groupBy("file").agg(F.min("number").alias("end"))
-    rows = rows.join(first_empty, "file", "left").filter(F.col("end").isNull() | (F.col("number") < F.col("end")))
+    """number, name and seq of tab-separated lines up to the first empty one; a line without a tab is an error.
+
+    The parts of a folder are one text, in the order of their names.
+    """
+    rows = lines(spark, path, across=True)
+    end = rows.filter("value = ''").agg(F.min("number")).first()[0]
+    if end is not None:
+        rows = rows.filter(F.col("number") < end)
     parts = F.split("value", "\t", -1)
     checked = F.when(F.size(parts) < 2, F.raise_error(F.concat(F.lit("no tab in target line "), F.col("number").cast("string")))).otherwise(parts)
     return rows.select("number", checked.alias("p")).select("number", F.col("p")[0].alias("name"), F.col("p")[1].alias("seq"))
@@ -156,18 +154,24 @@ def write_nonmatch(nonmatch: DataFrame, path: str, single: bool = False) -> None
     (rows.coalesce(1) if single else rows).write.mode("overwrite").text(path)
 
 
-def target_paths(path: str) -> tuple[str, str]:
-    """genes.txt gives genes.txt.parquet and genes_ids.txt.parquet beside it, whatever its extension."""
-    stem, dot, end = path.rpartition(".")
-    stem = stem if dot and "/" not in end else path
-    return f"{stem}.txt.parquet", f"{stem}_ids.txt.parquet"
-
-
-def write_targets(targets: DataFrame, path: str) -> tuple[str, str]:
-    """Sequences by row number, and ids with names and lengths, as two tables."""
-    sequences, ids = target_paths(path)
-    targets.select("tnum", "seq").write.mode("overwrite").parquet(sequences)
-    targets.select("tnum", "id_num", "name", "tlen").write.mode("overwrite").parquet(ids)
+def target_paths(path: str, end: str = "parquet") -> tuple[str, str]:
+    """genes.txt gives genes.txt.parquet and genes_ids.txt.parquet beside it, whatever its extension; so with .sz."""
+    stem, dot, extension = path.rpartition(".")
+    stem = stem if dot and "/" not in extension else path
+    return f"{stem}.txt.{end}", f"{stem}_ids.txt.{end}"
+
+
+def write_targets(targets: DataFrame, path: str, framed_text: bool = False) -> tuple[str, str]:
+    """Sequences by row number, and ids with names and lengths, as two Parquet tables, or as two folders of framed text
+    whose lines, in the order of parts, belong together by their place."""
+    sequences, ids = target_paths(path, "sz" if framed_text else "parquet")
+    if framed_text:
+        rows = targets.orderBy("tnum")
+        write_framed(rows.select(F.col("seq").alias("value")), sequences)
+        write_framed(rows.select(F.concat_ws("\t", padded_number(F.col("id_num")), "name", F.col("tlen").cast("string")).alias("value")), ids)
+    else:
+        targets.select("tnum", "seq").write.mode("overwrite").parquet(sequences)
+        targets.select("tnum", "id_num", "name", "tlen").write.mode("overwrite").parquet(ids)
     return sequences, ids
 
 
@@ -177,6 +181,6 @@ def read_prepared(spark: SparkSession, sequences: str, ids: str) -> DataFrame:
     if sequences.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(sequences).join(spark.read.parquet(ids).select("tnum", "name", "tlen"), "tnum")
     fields = F.split("value", "\t", -1)
-    seqs = lines(spark, sequences).select(F.col("number").alias("tnum"), fields[0].alias("seq"))
-    names = lines(spark, ids).select(F.col("number").alias("tnum"), fields[1].alias("name"))
+    seqs = lines(spark, sequences, across=True).select(F.col("number").alias("tnum"), fields[0].alias("seq"))
+    names = lines(spark, ids, across=True).select(F.col("number").alias("tnum"), fields[1].alias("name"))
     return seqs.join(names, "tnum").withColumn("tlen", F.length("seq"))
