@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import NAME_LIMIT, first_token, normalised, shortened
 
 
-def prepare_reads(rows: DataFrame, least: int = 0, most: int = 300) -> DataFrame:
-    """seq and name: reads shorter than ``least`` and empty ones go, others are normalised and cut to ``most`` letters."""
+def prepare_reads(rows: DataFrame, least: int = 0, most: int = 300, seen: Observation | None = None) -> DataFrame:
+    """seq and name: reads shorter than ``least`` and empty ones go, others are normalised and cut to ``most`` letters.
+
+    ``seen`` is told, while the rows are made, how many reads are too short (``skipped``).
+    """
+    if seen is not None:
+        rows = rows.observe(seen, F.count_if(F.length("seq") < least).alias("skipped"))
     kept = rows.filter((F.length("seq") >= least) & (F.length("seq") > 0))
     return kept.select(normalised(F.substring("seq", 1, most)).alias("seq"), shortened(F.col("name")).alias("name"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.sequences import dinucleotides
@@ -13,12 +13,20 @@ from ..functions.sequences import dinucleotides
 STRETCH = 1 << 16
 
 
-def read_windows(reads: DataFrame, starts: Sequence[int], width: int, min_dinuc: int = 0) -> DataFrame:
-    """k, q, key, seq for each window of each read that reaches to its end and is varied enough."""
+def read_windows(reads: DataFrame, starts: Sequence[int], width: int, min_dinuc: int = 0, seen: Observation | None = None) -> DataFrame:
+    """k, q, key, seq for each window of each read that reaches to its end and is varied enough.
+
+    ``seen`` is told, while the rows are made, how many reads reach to the end of each window k (``reads k``), and about
+    how many different keys are varied enough (``keys k``).
+    """
     each = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(q).alias("q")) for k, q in enumerate(starts)))
     rows = reads.select("seq", F.inline(each)).filter(F.length("seq") >= F.col("q") + width)
-    rows = rows.withColumn("key", F.substr("seq", F.col("q") + 1, F.lit(width)))
-    return rows.filter(dinucleotides(F.col("key")) >= min_dinuc).select("k", "q", "key", "seq")
+    rows = rows.withColumn("key", F.substr("seq", F.col("q") + 1, F.lit(width))).withColumn("varied", dinucleotides(F.col("key")) >= min_dinuc)
+    if seen is not None:
+        of = range(len(starts))
+        reads_of, keys_of = (F.count_if(F.col("k") == k).alias(f"reads {k}") for k in of), (F.approx_count_distinct(F.when((F.col("k") == k) & F.col("varied"), F.col("key")), 0.01).alias(f"keys {k}") for k in of)
+        rows = rows.observe(seen, *reads_of, *keys_of)
+    return rows.filter("varied").select("k", "q", "key", "seq")
 
 
 def window_sides(windows: DataFrame, width: int) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Nothing there is biological, so text is put into the alphabet: letters become A, C, G and T in turn, all else X.
 Targets are ``documents``; reads are stretches of ``benchmark``, whose passages occur in them, those of odd items with
-one letter exchanged, some of them repeated, a few very often. Matching has variants of a third of the targets beside
-them, with a letter exchanged here and there, so that limits and tolerances leave something out.
+one letter exchanged, some of them repeated, a few very often. Matching has variants of the targets beside them, with
+letters exchanged or in short pieces, so that checks, limits and tolerances leave something out.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ WIDTH, STARTS, SHARE, LEAST, MOST, DINUC, MATCHES, TOLERANCE = 20, (0, 15, 30, 4
 CONFIG = MatchConfig(Windows=STARTS, WindowWidth=WIDTH, PMatch=SHARE, MinReadLength=LEAST, MaxReadLength=MOST, MinDinuc=DINUC, MaxMatches=MATCHES, MMTol=TOLERANCE, MatchMode="best", BloomSize=4_000_000, NumHash=20)
 #: What the number of a target's variant is higher by.
 VARIANT = 1_000_000_000_000
+#: Letters of a target's pieces.
+PIECE = 250
 
 
 def encoded(text: Column) -> Column:
@@ -43,9 +45,16 @@ def target_rows(spark: SparkSession, sf_dir: str, reverse: bool = False) -> Data
 
 
 def match_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The targets, and a variant of every third one."""
+    """The targets, of every third one a variant with a letter exchanged here and there, of every other third one with
+    short stretches lost, so that reads differ in more places than allowed, and the last third in short pieces, past
+    whose ends reads run."""
     rows = target_rows(spark, sf_dir)
-    other = rows.filter("tnum % 3 = 0").select((F.col("tnum") + VARIANT).alias("tnum"), (F.col("id_num") + VARIANT).alias("id_num"), F.concat("name", F.lit("v")).alias("name"), F.replace("seq", F.lit("GCT"), F.lit("GAT")).alias("seq"), "tlen")
+    third = lambda k: rows.filter((F.col("tnum") % 3 == k) & (F.col("tlen") > 0))
+    few = third(0).select((F.col("tnum") + VARIANT).alias("tnum"), F.concat("name", F.lit("v")).alias("name"), F.replace("seq", F.lit("GCT"), F.lit("GAT")).alias("seq"))
+    many = third(1).select((F.col("tnum") + VARIANT).alias("tnum"), F.concat("name", F.lit("w")).alias("name"), F.regexp_replace("seq", "(.{40}).{12}", "$1XXXXXXXXXXXX").alias("seq"))
+    cut = third(2).select("tnum", "name", "seq", F.explode(F.sequence(F.lit(0), F.col("tlen") - 1, F.lit(PIECE))).alias("at"))
+    cut = cut.select((-1 - F.col("tnum") * 1_000_000 - F.col("at") / PIECE).cast("bigint").alias("tnum"), F.concat("name", F.lit("p"), F.col("at").cast("string")).alias("name"), F.substr("seq", F.col("at") + 1, F.lit(PIECE)).alias("seq"))
+    other = few.unionByName(many).unionByName(cut).select("tnum", F.col("tnum").alias("id_num"), "name", "seq", F.length("seq").alias("tlen"))
     return rows.unionByName(other)
 
 
@@ -206,6 +215,18 @@ def verify_targets(spark, sf_dir):
     return results.verified_targets(run.best(), run.targets)
 
 
+def contained_targets(spark, sf_dir):
+    """Which stretches of matched targets, and which reads, occur in a target, without a look at its number or place."""
+    run = a_run(spark, sf_dir)
+    wanted = run.best().select("tseq").union(run.reads().select("seq")).distinct()
+    return wanted.join(results.contained(wanted, run.targets, work=run.dir).withColumn("found", F.lit(True)), "tseq", "left").select("tseq", F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def run_metrics(spark, sf_dir):
+    """What a run's log says of its reads."""
+    return a_run(spark, sf_dir).metrics().filter("metric not like 'filter%'").select("metric", F.col("value").cast("bigint").alias("value"))
+
+
 def fastq_scan(spark, sf_dir):
     """The reads, written as a FASTQ file and read again."""
     path = f"{work_dir(spark)}/reads.fastq"
@@ -253,7 +274,7 @@ def nonmatch_lines(spark, sf_dir):
 
 _NAMES = (
     "fastq_scan", "fasta_scan", "text_scan", "framed_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
-    "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets",
+    "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets", "contained_targets", "run_metrics",
 )
 
 
@@ -275,7 +296,9 @@ def _varied(seq: str) -> str:
 
 _TARGETS = f"t AS (SELECT doc_id AS tnum, 'doc' || doc_id AS name, {_encoded('text')} AS seq, length(text)::INT AS tlen FROM documents WHERE text IS NOT NULL)"
 _MATCH_TARGETS = f"""{_TARGETS.replace('t AS', 'plain AS', 1)},
-t AS (SELECT * FROM plain UNION ALL SELECT tnum + {VARIANT}, name || 'v', replace(seq, 'GCT', 'GAT'), tlen FROM plain WHERE tnum % 3 = 0)"""
+t AS (SELECT * FROM plain UNION ALL SELECT tnum + {VARIANT}, name || 'v', replace(seq, 'GCT', 'GAT'), tlen FROM plain WHERE tnum % 3 = 0
+ UNION ALL SELECT tnum + {VARIANT}, name || 'w', regexp_replace(seq, '(.{{40}}).{{12}}', '\\1XXXXXXXXXXXX', 'g'), tlen FROM plain WHERE tnum % 3 = 1
+ UNION ALL SELECT -1 - tnum * 1000000 - a // {PIECE}, name || 'p' || a, substr(seq, a + 1, {PIECE}), length(substr(seq, a + 1, {PIECE}))::INT FROM (SELECT *, unnest(range(0, tlen, {PIECE})) AS a FROM plain WHERE tnum % 3 = 2))"""
 _RAW = f"""b AS (SELECT item_id, unnest(range(0, length(text), 50)) AS o, {_encoded('text')} AS text FROM benchmark WHERE length(text) > 0),
 copies AS (SELECT item_id, o, text, unnest(range(1, CASE WHEN item_id % 20 = 0 AND o = 0 THEN 201 WHEN item_id % 3 = 0 THEN 3 ELSE 2 END)) AS i FROM b),
 c AS (SELECT item_id, (item_id % 40)::INT AS place, '@r' || item_id || '_' || o || '_' || i || ' tile' AS name, substr(text, o + 1, 120) AS seq FROM copies),
@@ -351,5 +374,7 @@ def oracle_sql() -> dict[str, str]:
         "matched_targets_count": f"WITH {_BEST} SELECT count(DISTINCT name) AS n_targets FROM result",
         "except_names": f"WITH {_BEST} SELECT names FROM reads EXCEPT SELECT names FROM result",
         "verify_reads": f"WITH {_BEST} SELECT 'known' AS reads, count(*) AS n FROM result WHERE seq IN (SELECT seq FROM reads) UNION ALL SELECT 'unknown', count(*) FROM result WHERE seq NOT IN (SELECT seq FROM reads)",
+        "contained_targets": f"WITH {_BEST}, wanted AS (SELECT tseq FROM best UNION SELECT seq FROM reads) SELECT tseq, EXISTS (SELECT 1 FROM t WHERE contains(t.seq, tseq)) AS found FROM wanted",
+        "run_metrics": f"WITH {_WINDOWS} SELECT 'skipped reads' AS metric, count(*) FILTER (length(seq) < {LEAST}) AS value FROM raw UNION ALL SELECT 'reads in window ' || k, count(*) FILTER (length(seq) >= q + {WIDTH}) FROM reads, starts GROUP BY k",
         "verify_targets": f"WITH {_BEST} SELECT best.*, substr(t.seq, pos + 1, length(tseq)) = tseq AS ok FROM best JOIN t USING (tnum)",
     }

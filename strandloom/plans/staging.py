@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import tempfile
@@ -63,6 +64,19 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """A small JSON object beside stage tables, in whatever store they are."""
+    spark.createDataFrame([(json.dumps(note),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """A note that was written whole, or None."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return json.loads(spark.read.text(path).first()[0])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows as they are scanned, or dealt anew where a few files or row groups would leave most cores idle."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -17,9 +17,9 @@ def target_table(spark, rows):
 
 
 def a_run(spark, read_rows, target_rows, **settings):
+    options = {k: settings.pop(k) for k in ("start", "strict", "compat") if k in settings}
     config = MatchConfig(**{"Windows": (0, 5), "WindowWidth": 4, "PMatch": 1.0, "MaxReadLength": 300, "MaxMatches": 1000, "MatchMode": "best", "BloomSize": 1000, "NumHash": 5} | settings)
-    compat = settings.pop("compat", False)
-    return pipeline.Run(spark, config, spark.createDataFrame(read_rows, "name string, seq string"), target_table(spark, target_rows), compat=compat)
+    return pipeline.Run(spark, config, spark.createDataFrame(read_rows, "name string, seq string"), target_table(spark, target_rows), **options)
 
 
 def brute(read_rows, target_rows, starts, width, share, tolerance, dinuc=0):
@@ -69,6 +69,64 @@ def test_end_to_end_files(spark, tmp_path):
         pipeline.Run(spark, MatchConfig(), None, None, start=3)
 
 
+def test_a_later_start_wants_the_same_settings(spark, tmp_path):
+    def run(start=0, targets=GENES, **settings):
+        return a_run(spark, READS, targets, TempDir=str(tmp_path / "work"), start=start, **settings)
+
+    first = run()
+    assert first.result().count() == 3
+    assert run(start=9).result().count() == 3
+    assert run(start=9, BloomSize=77, MatchMode="any").result().count() == 3  # no table depends on these
+    for start, settings, wrong in ((5, {"WindowWidth": 5}, "WindowWidth"), (6, {"PMatch": 0.9}, "PMatch"), (7, {"MMTol": 3}, "MMTol"), (2, {"Windows": (0, 6)}, "Windows"), (5, {"compat": True}, None), (6, {"compat": True}, "compat"), (6, {"MatchMode": "first"}, "MatchMode")):
+        later = run(start=start, **settings)
+        if wrong is None:
+            assert later.result().count() == 3
+            first = run()
+            first.result()
+        else:
+            with pytest.raises(ValueError, match=f"another {wrong}"):
+                later.result()
+    assert run(start=5, PMatch=0.8).matches().count() >= 3  # what is before the change is read, the rest made anew
+    with pytest.raises(ValueError, match="the table of named was made with another PMatch"):
+        run(start=9, PMatch=0.8).result()
+    (tmp_path / "work/matches.note/_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="no finished table of matches"):
+        run(start=6, PMatch=0.8).best()
+
+
+def test_figures_are_counted_in_passing(spark, monkeypatch):
+    run = a_run(spark, [*READS, ("@short", "AC"), ("@twice", "GTAGGATATC")], GENES, MinReadLength=3)
+    run.windows()
+    monkeypatch.setattr(windows, "window_counts", None)
+    monkeypatch.setattr(reads, "skipped_reads", None)
+    got = {r["metric"]: r["value"] for r in run.metrics().collect()}
+    keys = len({s[:4] for _, s in READS})
+    assert (got["skipped reads"], got["reads in window 0"], got["reads in window 1"]) == (1, 6, 6)
+    assert got["filter fill of window 0"] == pytest.approx(1 - 2.718281828459045 ** (-5 * keys / 1000))
+    empty = a_run(spark, [], GENES)
+    assert {r["value"] for r in empty.metrics().collect()} == {0}
+
+
+def test_a_window_without_reads_stops_a_strict_run(spark, tmp_path):
+    run = a_run(spark, READS, GENES, Windows=(0, 7), strict=True)
+    with pytest.raises(ValueError, match="window 1, which ends after 11 letters"):
+        run.result()
+    assert a_run(spark, READS, GENES, Windows=(0, 7)).result().count() == 3
+
+
+def test_sequences_that_occur_in_a_target(spark):
+    rng = random.Random(12)
+    genes = [(f"g{k}", "".join(rng.choice("ACGT") for _ in range(rng.choice([5, 60, 400])))) for k in range(30)] + [("poly", "A" * 300)]
+    wanted = [g[a : a + n] for _, g in genes for a, n in ((0, 5), (3, 40), (50, 200)) if len(g) >= a + n]
+    wanted += ["".join(rng.choice("ACGT") for _ in range(n)) for n in (5, 12, 60) for _ in range(20)] + [g[-30:] + "A" for _, g in genes if len(g) > 30] + ["A" * 300, "A" * 301, "", None]
+    df = spark.createDataFrame([(w,) for w in wanted], "tseq string")
+    targets = target_table(spark, genes)
+    got = {r["tseq"] for r in results.contained(df, targets).collect()}
+    assert got == {w for w in wanted if w is not None and any(w in g for _, g in genes)}
+    assert {r["tseq"] for r in results.contained(df.filter("length(tseq) > 30"), targets).collect()} == {w for w in got if len(w) > 30}
+    assert results.contained(df.filter("tseq is null"), targets).count() == results.contained(df, targets.limit(0)).count() == 0
+
+
 MISMATCH_READ = "ACGTTGCAAGCTTACGATCG"
 MISMATCH_TARGETS = [("t1", "AAAC" + MISMATCH_READ + "GGTT"), ("t2", "CC" + "ACGTTGCAAGCTTACGATCC" + "A"), ("t3", "ACGTTGCAAGGTTACGATCC")]
 

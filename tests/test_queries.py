@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from strandloom.operators import matching
 from strandloom.plans import queries as Q
 
 DIR = "/root/testdata/sf0.001"
@@ -50,6 +51,9 @@ def test_limits_tolerance_and_repeats_leave_something_out(spark):
     assert n["topk_first"] == n["topk_best"] < n["verified_matches"] and n["read_dedup"] < n["prep_reads"]
     assert Q.read_dedup(spark, sf).filter("names like '%...'").count() > 0
     run = Q.a_run(spark, sf)
+    pairs = matching.window_pairs(run.candidates(), run.windows())
+    inside = pairs.filter("length(around) - lead + q >= length(seq)").count()
+    assert n["verified_matches"] < inside < pairs.count()  # too many mismatches, and reads past a target's end
     assert run.best().count() < run.matches().select("seq", "tseq", "pos", "nmiss", "tnum").distinct().count()
     firsts, bests = (set(map(tuple, Q.queries()[k](spark, sf).collect())) for k in ("topk_first", "topk_best"))
     assert firsts != bests
