@@ -63,12 +63,14 @@ def _most(mode: str, most: int, compat: bool) -> int:
     return most + (1 if mode == "first" and compat else 0)
 
 
-def hot_keys(found: DataFrame, windows: DataFrame) -> DataFrame:
-    """key, target_blocks, read_blocks: keys with more than ``HOT_PAIRS`` pairs, and into how many blocks either side goes."""
+def hot_keys(found: DataFrame, windows: DataFrame, pairs: int | None = None, size: int | None = None) -> DataFrame:
+    """key, target_blocks, read_blocks: keys with more than ``pairs`` pairs, and into how many blocks of about ``size``
+    rows either side goes."""
+    pairs, size = HOT_PAIRS if pairs is None else pairs, BLOCK if size is None else size
     here = found.groupBy("key").agg(F.count("*").alias("targets"))
     there = windows.groupBy("key").agg(F.count("*").alias("reads"))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    return here.join(there, "key").filter(F.col("targets") * F.col("reads") > HOT_PAIRS).select("key", blocks("targets").alias("target_blocks"), blocks("reads").alias("read_blocks"))
+    blocks = lambda n: F.ceil(F.col(n) / size).cast("int")
+    return here.join(there, "key").filter(F.col("targets") * F.col("reads") > pairs).select("key", blocks("targets").alias("target_blocks"), blocks("reads").alias("read_blocks"))
 
 
 def _sides(texts: list[bytes], q: int, width: int) -> list[tuple[bytes, bytes]]:

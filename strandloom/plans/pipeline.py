@@ -33,15 +33,16 @@ def prepare(spark: SparkSession, path: str, reverse: bool = False, framed_text:
 class Run:
     """The stages of one run, each computed when it is asked for or read if the run starts after it.
 
-    With ``strict`` a window that no read reaches the end of is an error.
+    With ``strict`` a window that no read reaches the end of is an error. ``key_bytes`` of read windows are looked up as
+    they are, more by a filter; keys of more pairs than ``hot`` says are merged in blocks of the size that it says.
     """
 
-    def __init__(self, spark: SparkSession, config: MatchConfig, raw_reads: DataFrame, target_rows: DataFrame, start: int = 0, compat: bool = False, key_bytes: int = scan.KEY_BYTES, strict: bool = False) -> None:
+    def __init__(self, spark: SparkSession, config: MatchConfig, raw_reads: DataFrame, target_rows: DataFrame, start: int = 0, compat: bool = False, key_bytes: int = scan.KEY_BYTES, strict: bool = False, hot: tuple[int, int] = (matching.HOT_PAIRS, matching.BLOCK)) -> None:
         if not 0 <= start < len(STAGES):
             raise ValueError(f"stages are 0 to {len(STAGES) - 1}")
         if start and not config.TempDir:
             raise ValueError("to start at a later stage, TempDir must name the folder of an earlier run")
-        self.spark, self.config, self.start, self.compat, self.key_bytes, self.strict = spark, config, start, compat, key_bytes, strict
+        self.spark, self.config, self.start, self.compat, self.key_bytes, self.strict, self.hot = spark, config, start, compat, key_bytes, strict, hot
         self.raw, self.targets, self.dir, self.done, self.notes = raw_reads, target_rows, work_dir(spark, config.TempDir), {}, {}
 
     def _depends(self, stage: str) -> dict:
@@ -105,7 +106,7 @@ class Run:
         return matching.verified(matching.window_pairs(self.candidates(), self.windows()), self.config.PMatch, self.config.WindowWidth, self.compat)
 
     def _hot_keys(self) -> DataFrame | None:
-        hot = staged(matching.hot_keys(self.candidates(), self.windows()), f"{self.dir}/hot keys")
+        hot = staged(matching.hot_keys(self.candidates(), self.windows(), *self.hot), f"{self.dir}/hot keys")
         return None if hot.isEmpty() else hot
 
     def matches(self) -> DataFrame:

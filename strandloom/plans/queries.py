@@ -69,15 +69,15 @@ def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(name.alias("name"), F.when(F.col("item_id") % 2 == 1, changed).otherwise(F.col("seq")).alias("seq"))
 
 
-def a_run(spark: SparkSession, sf_dir: str, key_bytes: int = scan.KEY_BYTES, **other) -> Run:
-    run = Run(spark, CONFIG.overridden(**other), raw_reads(spark, sf_dir), None, key_bytes=key_bytes)
+def a_run(spark: SparkSession, sf_dir: str, options: dict | None = None, **other) -> Run:
+    run = Run(spark, CONFIG.overridden(**other), raw_reads(spark, sf_dir), None, **(options or {}))
     # encoded once: else each window of a target would encode it anew
     run.targets = staged(match_targets(spark, sf_dir), f"{run.dir}/targets")
     return run
 
 
-def _found(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    return a_run(spark, sf_dir, MatchMode=mode, MaxMatches=1).matches().select("k", "q", "key", "seq", "tseq", "pos", "nmiss", "tnum")
+def _found(spark: SparkSession, sf_dir: str, mode: str, **options) -> DataFrame:
+    return a_run(spark, sf_dir, options, MatchMode=mode, MaxMatches=1).matches().select("k", "q", "key", "seq", "tseq", "pos", "nmiss", "tnum")
 
 
 def subx(spark, sf_dir):
@@ -156,7 +156,7 @@ def kmer_candidates(spark, sf_dir):
 
 def filtered_candidates(spark, sf_dir):
     """The same through the filter that takes the place of a table of too many read windows."""
-    return a_run(spark, sf_dir, key_bytes=0).candidates().select("tnum", "p", "key")
+    return a_run(spark, sf_dir, {"key_bytes": 0}).candidates().select("tnum", "p", "key")
 
 
 def verified_matches(spark, sf_dir):
@@ -171,6 +171,15 @@ def topk_best(spark, sf_dir):
     return _found(spark, sf_dir, "best")
 
 
+def merged_first(spark, sf_dir):
+    """The same with every key of more than one pair merged in scan order, in small blocks, as very common keys are."""
+    return _found(spark, sf_dir, "first", hot=(1, 4))
+
+
+def merged_best(spark, sf_dir):
+    return _found(spark, sf_dir, "best", hot=(1, 4))
+
+
 def distinct_matches(spark, sf_dir):
     return combine.distinct_matches(a_run(spark, sf_dir).all_matches())
 
@@ -274,7 +283,7 @@ def nonmatch_lines(spark, sf_dir):
 
 _NAMES = (
     "fastq_scan", "fasta_scan", "text_scan", "framed_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
-    "verified_matches", "topk_first", "topk_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets", "contained_targets", "run_metrics",
+    "verified_matches", "topk_first", "topk_best", "merged_first", "merged_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets", "contained_targets", "run_metrics",
 )
 
 
@@ -365,6 +374,8 @@ def oracle_sql() -> dict[str, str]:
         "verified_matches": f"WITH {_ALL} SELECT k, q, key, seq, tnum, pos, tseq, nmiss FROM every",
         "topk_first": f"WITH {_limited('first', 1)} {matched}",
         "topk_best": f"WITH {_limited('best', 1)} {matched}",
+        "merged_first": f"WITH {_limited('first', 1)} {matched}",
+        "merged_best": f"WITH {_limited('best', 1)} {matched}",
         "distinct_matches": f"WITH {_ALL} SELECT DISTINCT seq, tseq, pos, nmiss, tnum FROM every",
         "best_per_read": f"WITH {_BEST} SELECT * FROM best",
         "target_names": f"WITH {_BEST} SELECT * FROM named",
