@@ -18,7 +18,7 @@ from ..functions import sequences as S
 from ..operators import combine, reads, results, scan, targets, windows
 from ..sources import files
 from .config import MatchConfig
-from .pipeline import Run
+from .pipeline import STAGES, Run
 from .staging import spread, staged, work_dir
 
 _CYCLE = ("ACGT" * 13)[:52]
@@ -180,6 +180,11 @@ def merged_best(spark, sf_dir):
     return _found(spark, sf_dir, "best", hot=(1, 4))
 
 
+def compat_first(spark, sf_dir):
+    """With the original's extra match, its scan order of long right sides, and its limit at target offset 0."""
+    return _found(spark, sf_dir, "first", compat=True)
+
+
 def distinct_matches(spark, sf_dir):
     return combine.distinct_matches(a_run(spark, sf_dir).all_matches())
 
@@ -274,6 +279,21 @@ def result_lines(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+def result_order(spark, sf_dir):
+    """The lines of a written result with their numbers over its parts."""
+    path = f"{work_dir(spark)}/result.txt"
+    files.write_result(result(spark, sf_dir), path)
+    return files.lines(spark, path, across=True).select("number", F.col("value").alias("line"))
+
+
+def restarted_result(spark, sf_dir):
+    """The result of a run that starts at a later stage, from the tables of an earlier run."""
+    run = a_run(spark, sf_dir, TempDir=work_dir(spark))
+    run.matches()
+    later = Run(spark, run.config, run.raw, run.targets, start=STAGES.index("matches") + 1)
+    return later.result()
+
+
 def nonmatch_lines(spark, sf_dir):
     """The records of a written file of reads without a match."""
     path = f"{work_dir(spark)}/result.nonmatch.txt.fastq"
@@ -282,8 +302,8 @@ def nonmatch_lines(spark, sf_dir):
 
 
 _NAMES = (
-    "fastq_scan", "fasta_scan", "text_scan", "framed_scan", "result_lines", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
-    "verified_matches", "topk_first", "topk_best", "merged_first", "merged_best", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets", "contained_targets", "run_metrics",
+    "fastq_scan", "fasta_scan", "text_scan", "framed_scan", "result_lines", "result_order", "restarted_result", "nonmatch_lines", "subx", "revcomp", "dinuc", "hamming", "allowed", "shortened_names", "prep_targets", "prep_targets_rev", "prep_reads", "skipped_reads", "read_dedup", "read_windows", "window_counts", "bloom_fill", "measured_fill", "kmer_candidates", "filtered_candidates",
+    "verified_matches", "topk_first", "topk_best", "merged_first", "merged_best", "compat_first", "distinct_matches", "best_per_read", "target_names", "result", "nonmatch", "matched_reads_count", "matched_targets_count", "except_names", "verify_reads", "verify_targets", "contained_targets", "run_metrics",
 )
 
 
@@ -325,14 +345,14 @@ tiles AS (SELECT tnum, s, substr(seq, s + 1, {256 + WIDTH - 1}) AS tile FROM (SE
 kmers AS (SELECT tnum, s + i AS p, substr(tile, i + 1, {WIDTH}) AS key FROM (SELECT tnum, s, tile, unnest(range(0, length(tile) - {WIDTH} + 1)) AS i FROM tiles)),
 cand AS (SELECT tnum, p, key FROM kmers WHERE key IN (SELECT key FROM win))"""
 _ALL = f"""{_CANDIDATES},
-pairs AS (SELECT k, q, key, win.seq, t.tnum, p, (p - q)::INT AS pos, substr(t.seq, p - q + 1, length(win.seq)) AS tseq FROM cand JOIN win USING (key) JOIN t ON t.tnum = cand.tnum WHERE p >= q AND p - q + length(win.seq) <= tlen),
+pairs AS (SELECT k, q, key, win.seq, t.tnum, p, (p - q)::INT AS pos, substr(t.seq, p - q + 1, length(win.seq)) AS tseq, substr(t.seq, p + {WIDTH} + 1, greatest({MOST - WIDTH} - q, 0)) AS tail FROM cand JOIN win USING (key) JOIN t ON t.tnum = cand.tnum WHERE p >= q AND p - q + length(win.seq) <= tlen),
 every AS (SELECT *, hamming(seq, tseq)::INT AS nmiss FROM pairs WHERE hamming(seq, tseq) <= trunc((1.0::DOUBLE - {SHARE}::DOUBLE) * length(seq)))"""
 
 
-def _limited(mode: str, most: int) -> str:
-    order = f"substr(tseq, 1, q), substr(tseq, q + {WIDTH} + 1), tnum, p::VARCHAR, substr(seq, 1, q), substr(seq, q + {WIDTH} + 1)"
+def _limited(mode: str, most: int, right: str = f"substr(tseq, q + {WIDTH} + 1)", only: str = "true") -> str:
+    order = f"substr(tseq, 1, q), {right}, tnum, p::VARCHAR, substr(seq, 1, q), substr(seq, q + {WIDTH} + 1)"
     order = order if mode == "first" else f"nmiss, {order}"
-    return f"{_ALL},\nmatches AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY k, key ORDER BY {order}) <= {most})"
+    return f"{_ALL},\nmatches AS (SELECT * FROM every WHERE {only} QUALIFY row_number() OVER (PARTITION BY k, key ORDER BY {order}) <= {most})"
 
 
 _BEST = f"""{_limited('best', MATCHES)},
@@ -353,6 +373,8 @@ def oracle_sql() -> dict[str, str]:
         "text_scan": f"{filed} {both.format(padded('number'), 'number', chr(39) * 2, padded('number'))}",
         "framed_scan": f"{filed}, b AS (SELECT tnum, 0 AS r, name, seq, tlen FROM (SELECT number AS tnum, name, seq, tlen FROM f) UNION ALL SELECT number, 1, name || '_r', translate(reverse(seq), 'ACGT', 'TGCA'), tlen FROM f) SELECT row_number() OVER (ORDER BY tnum, r) - 1 AS tnum, name, seq, tlen FROM b",
         "result_lines": f"WITH {_BEST} SELECT concat_ws(chr(9), seq, tseq, pos, nmiss, name, tlen, n, names) AS line FROM result",
+        "result_order": f"WITH {_BEST}, texts AS (SELECT seq, tseq, pos::VARCHAR AS pos, nmiss::VARCHAR AS nmiss, name, tlen::VARCHAR AS tlen, n::VARCHAR AS n, names FROM result) SELECT row_number() OVER (ORDER BY seq, tseq, pos, nmiss, name, tlen, n, names) - 1 AS number, concat_ws(chr(9), seq, tseq, pos, nmiss, name, tlen, n, names) AS line FROM texts",
+        "restarted_result": f"WITH {_BEST} SELECT * FROM result",
         "nonmatch_lines": f"WITH {_BEST} SELECT names AS name, seq FROM reads WHERE seq NOT IN (SELECT seq FROM result)",
         "subx": "SELECT doc_id, regexp_replace(text, '[^ACGT]', 'X', 'g') AS seq FROM documents",
         "revcomp": f"WITH {_TARGETS} SELECT tnum, translate(reverse(seq), 'ACGT', 'TGCA') AS seq FROM t",
@@ -376,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "topk_best": f"WITH {_limited('best', 1)} {matched}",
         "merged_first": f"WITH {_limited('first', 1)} {matched}",
         "merged_best": f"WITH {_limited('best', 1)} {matched}",
+        "compat_first": f"WITH {_limited('first', 2, 'tail', 'q > 0 OR p > 0 OR length(seq) <= 100')} {matched}",
         "distinct_matches": f"WITH {_ALL} SELECT DISTINCT seq, tseq, pos, nmiss, tnum FROM every",
         "best_per_read": f"WITH {_BEST} SELECT * FROM best",
         "target_names": f"WITH {_BEST} SELECT * FROM named",
