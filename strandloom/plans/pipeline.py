@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import combine, matching, reads, results, scan, targets, windows
 from ..sources import files, stores
 from .config import MatchConfig
-from .staging import read_note, staged, work_dir, write_note
+from .staging import forget_note, read_note, staged, work_dir, write_note
 
 STAGES = ("reads", "windows", "sorted windows", "candidates", "sorted candidates", "matches", "best", "sorted best", "named", "result", "nonmatch")
 
@@ -72,7 +72,9 @@ class Run:
                     raise ValueError(f"the run can't start at stage {self.start}: the table of {name} was made with another {', '.join(other)}")
                 self.notes[name], self.done[name] = note["figures"], self.spark.read.parquet(path)
             else:
-                table = staged(make(), path)
+                rows = make()
+                forget_note(self.spark, f"{path}.note")  # the table is about to be replaced
+                table = staged(rows, path)
                 self.notes[name] = {k: v for o in seen for k, v in o.get.items()}
                 write_note(self.spark, f"{path}.note", {"depends": depends, "figures": self.notes[name]})
                 self.done[name] = table
@@ -106,8 +108,9 @@ class Run:
         return matching.verified(matching.window_pairs(self.candidates(), self.windows()), self.config.PMatch, self.config.WindowWidth, self.compat)
 
     def _hot_keys(self) -> DataFrame | None:
-        hot = staged(matching.hot_keys(self.candidates(), self.windows(), *self.hot), f"{self.dir}/hot keys")
-        return None if hot.isEmpty() else hot
+        """Most runs have none; where there are some, four joins use them."""
+        hot = matching.hot_keys(self.candidates(), self.windows(), *self.hot)
+        return None if hot.isEmpty() else staged(hot, f"{self.dir}/hot keys")
 
     def matches(self) -> DataFrame:
         c = self.config

@@ -64,17 +64,31 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's own readers and writers have them."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def write_note(spark: SparkSession, path: str, note: dict) -> None:
-    """A small JSON object beside stage tables, in whatever store they are."""
-    spark.createDataFrame([(json.dumps(note),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """A small JSON object beside stage tables, in whatever store they are; it is there whole or not at all."""
+    (target, store), (begun, _) = _file(spark, path), _file(spark, f"{path}.{uuid.uuid4().hex}")
+    out = store.create(begun, True)
+    out.write(bytearray(json.dumps(note).encode()))
+    out.close()
+    store.delete(target, False)
+    store.rename(begun, target)
+
+
+def forget_note(spark: SparkSession, path: str) -> None:
+    where, store = _file(spark, path)
+    store.delete(where, False)
 
 
 def read_note(spark: SparkSession, path: str) -> dict | None:
-    """A note that was written whole, or None."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return None
-    return json.loads(spark.read.text(path).first()[0])
+    """A note, or None where there is none."""
+    where, store = _file(spark, path)
+    return json.loads(spark.read.text(path, wholetext=True).first()[0]) if store.exists(where) else None
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def test_a_later_start_wants_the_same_settings(spark, tmp_path):
     assert run(start=5, PMatch=0.8).matches().count() >= 3  # what is before the change is read, the rest made anew
     with pytest.raises(ValueError, match="the table of named was made with another PMatch"):
         run(start=9, PMatch=0.8).result()
-    (tmp_path / "work/matches.note/_SUCCESS").unlink()
+    (tmp_path / "work/matches.note").unlink()
     with pytest.raises(ValueError, match="no finished table of matches"):
         run(start=6, PMatch=0.8).best()
 
