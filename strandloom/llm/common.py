@@ -53,6 +53,13 @@ def vacate(name: str = "") -> None:
             ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def relieve() -> None:
+    """Gives back to the system what a task's batches have left in the memory pools of this process."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def place(df: DataFrame, want: str) -> int:
     """Where a column is: the first with exactly that name, else the first whose name differs in case only."""
     names = df.columns
@@ -152,6 +159,7 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate(keeps)
+        relieve()
         each = make()
         for batch in batches:
             n = max(1, min(rows, batch.num_rows * BYTES // max(1, batch.nbytes)))
@@ -159,6 +167,8 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
                 yield from each(batch.slice(k, n))
         if hasattr(each, "finish"):
             yield from each.finish()
+        del each
+        relieve()
 
     return df.mapInArrow(run, schema)
 

@@ -26,8 +26,9 @@ from .common import arrow_map, pick, place, resident, slices
 
 #: Bytes that end a word (all below 128 but digits and letters) become blanks, capitals lower case.
 _TABLE = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
-#: Characters of benchmark text in a block; documents of a shard at most; words of a shard's suffix array.
-BLOCK_CHARS, SHARD_ROWS, SHARD_WORDS = 16_000_000, 4096, 1 << 21
+#: Characters of benchmark text in a block; documents of a shard at most; words of a shard's suffix array: as many as
+#: there are test suffixes, which are all sought in it, but no fewer and no more than these; bytes of a word, roughly.
+BLOCK_CHARS, SHARD_ROWS, SHARD_WORDS, WORD_BYTES = 16_000_000, 4096, (1 << 18, 1 << 21), 6
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -174,15 +175,20 @@ def _searched(tests: Tests, x: np.ndarray, body: int) -> tuple[list, np.ndarray,
     return found, array[slots], far, longest
 
 
+def shard_words(tests: Tests) -> int:
+    return max(SHARD_WORDS[0], min(SHARD_WORDS[1], len(tests.array)))
+
+
 def search(tests: Tests, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, int]], np.ndarray, np.ndarray]:
     """Places and lengths of all occurrences of windows in a shard; by window length (in the order of ``tests.windows``)
     the places and window numbers; places of occurrences and how long the longest matches there are, without a bound."""
     every: list[list] = [[] for _ in tests.windows]
     far_at, far = [_none()], [_none()]
     if tests.least:
+        size = shard_words(tests)
         # shards of very long texts overlap by the longest item
-        for k in range(0, len(numbers), SHARD_WORDS):
-            found, at, n, _ = _searched(tests, numbers[k : k + SHARD_WORDS + tests.depth], SHARD_WORDS)
+        for k in range(0, len(numbers), size):
+            found, at, n, _ = _searched(tests, numbers[k : k + size + tests.depth], size)
             far_at.append(at + k)
             far.append(n)
             for own, (places, which, size) in zip(every, found):
@@ -203,6 +209,45 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
         yield own.distinct().toArrow()
 
 
+class Shard:
+    """Some documents, and what the blocks of a benchmark find in them, one after the other."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.row = batch.column(0)
+        at, data = slices(batch.column(1))
+        self.texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        self.counts = np.array([len(words_of(bytes(t))) for t in self.texts], np.int64)
+        self.ends = np.cumsum(self.counts + 1)  # a 0 after each document
+        self.covered, self.longest = np.zeros(int(self.ends[-1]) + 1, np.int32), np.zeros(len(self.texts), np.int32)
+        self.pairs = [np.zeros((2, 0), np.int64)]
+
+    def add(self, tests: Tests) -> None:
+        numbers, number = np.zeros(int(self.ends[-1]), np.uint32), tests.number.get
+        for text, n, end in zip(self.texts, self.counts.tolist(), self.ends.tolist()):
+            numbers[end - 1 - n : end - 1] = [number(w, 0) for w in words_of(bytes(text))]
+        starts, lengths, found, far_at, far = search(tests, numbers)
+        np.add.at(self.covered, starts, 1)
+        np.add.at(self.covered, starts + lengths, -1)
+        np.maximum.at(self.longest, np.searchsorted(self.ends, far_at, side="right"), far)
+        for (places, which, _), (_, _, ranges, of) in zip(found, tests.windows):
+            d, w = np.unique(np.stack([np.searchsorted(self.ends, places, side="right"), which]), axis=1)
+            n = ranges[w + 1] - ranges[w]
+            own = of[np.repeat(ranges[w] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            d = np.repeat(d, n)[tests.named[own]]
+            self.pairs.append(np.unique(np.stack([d, tests.ids[own[tests.named[own]]]]), axis=1))
+
+    def result(self) -> pa.RecordBatch:
+        inside = np.diff(np.concatenate([[0], np.cumsum(self.covered) > 0, [0]]).astype(np.int8))
+        first, last = np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
+        d, item = np.unique(np.concatenate(self.pairs, axis=1), axis=1)
+        owner = np.searchsorted(self.ends, first, side="right")
+        begins = (self.ends - self.counts - 1)[owner]
+        split = lambda of, values: pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(self.texts) + 1)).astype(np.int32)), values)
+        hits = pa.StructArray.from_arrays([pa.array((first - begins).astype(np.int32)), pa.array((last - begins).astype(np.int32))], names=["start", "stop"])
+        out = pa.StructArray.from_arrays([pa.array(self.counts), split(owner, hits), split(d, pa.array(item)), pa.array(self.longest)], names=["n_words", "hits", "items", "longest"])
+        return pa.RecordBatch.from_arrays([self.row, out], names=["row", "found"])
+
+
 FOUND = "struct<n_words:bigint,hits:array<struct<start:int,stop:int>>,items:array<bigint>,longest:int>"
 
 
@@ -236,34 +281,21 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
             return resident(f"tests {name} {k}", build)
 
         def each(batch: pa.RecordBatch):
-            at, data = slices(batch.column(1))
-            docs = [words_of(bytes(data[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            counts = np.array([len(d) for d in docs], np.int64)
-            ends = np.cumsum(counts + 1)  # a 0 after each document
-            begins = ends - counts - 1
-            covered, longest, pairs = np.zeros(int(ends[-1]) + 1, np.int32), np.zeros(len(docs), np.int32), [np.zeros((2, 0), np.int64)]
+            """A batch in shards of about as many bytes as a suffix array has words for; blocks are changed once a batch."""
+            if not sizes:
+                sizes.append(WORD_BYTES * (shard_words(block(0)) if sent else SHARD_WORDS[0]))
+            ends = np.cumsum(np.diff(slices(batch.column(1))[0]))
+            shards, first = [], 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + sizes[0], side="right")))
+                shards.append(Shard(batch.slice(first, last - first)))
+                first = last
             for k in range(len(sent)):
-                tests = block(k)
-                number = tests.number.get
-                starts, lengths, found, far_at, far = search(tests, np.array([n for d in docs for n in (*(number(w, 0) for w in d), 0)], np.uint32))
-                np.add.at(covered, starts, 1)
-                np.add.at(covered, starts + lengths, -1)
-                np.maximum.at(longest, np.searchsorted(ends, far_at, side="right"), far)
-                for (places, which, _), (_, _, ranges, of) in zip(found, tests.windows):
-                    d, w = np.unique(np.stack([np.searchsorted(ends, places, side="right"), which]), axis=1)
-                    n = ranges[w + 1] - ranges[w]
-                    own = of[np.repeat(ranges[w] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                    d = np.repeat(d, n)[tests.named[own]]
-                    pairs.append(np.unique(np.stack([d, tests.ids[own[tests.named[own]]]]), axis=1))
-            inside = np.diff(np.concatenate([[0], np.cumsum(covered) > 0, [0]]).astype(np.int8))
-            first, last = np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
-            d, item = np.unique(np.concatenate(pairs, axis=1), axis=1)
-            owner = np.searchsorted(ends, first, side="right")
-            split = lambda of, values: pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(docs) + 1)).astype(np.int32)), values)
-            hits = pa.StructArray.from_arrays([pa.array((first - begins[owner]).astype(np.int32)), pa.array((last - begins[owner]).astype(np.int32))], names=["start", "stop"])
-            out = pa.StructArray.from_arrays([pa.array(counts), split(owner, hits), split(d, pa.array(item)), pa.array(longest)], names=["n_words", "hits", "items", "longest"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["row", "found"])
+                for shard in shards:
+                    shard.add(block(k))
+            yield from (shard.result() for shard in shards)
 
+        sizes: list[int] = []
         return each
 
     rows = arrow_map(rows, make, f"row {kind}, found {FOUND}", rows=SHARD_ROWS, keeps=f"tests {name} 0")
