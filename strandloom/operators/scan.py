@@ -22,8 +22,8 @@ from .windows import STRETCH, stretches
 
 #: Bytes of read windows and their hashes up to which workers hold all of them; bytes of one part of a filter.
 KEY_BYTES, PART_BYTES = 64 << 20, 128 << 20
-#: Bits a key and hash functions of a filter for which no settings are given.
-KEY_BITS, HASHES = 16, 8
+#: Bits a key and hash functions of a filter for which no settings are given; rows of a batch of what is found.
+KEY_BITS, HASHES, ROWS = 16, 8, 1 << 15
 
 
 def _found(pieces: DataFrame, keys, before: int, after: int, letters: int) -> DataFrame:
@@ -40,13 +40,15 @@ def _found(pieces: DataFrame, keys, before: int, after: int, letters: int) -> Da
                 row = np.searchsorted(at, hit, "right") - 1
                 offset = hit - at[row] - lead[row]
                 good = (offset >= 0) & (offset < letters) & (hit + width <= at[row + 1])
-                hit, row, offset = hit[good], row[good], offset[good]
-                first, last = np.maximum(at[row], hit - before), np.minimum(at[row + 1], hit + width + after)
-                around = [text[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), pa.array(start[row] + offset), rolling.texts(rolling.gather(text, hit, width)), pa.array((hit - first).astype(np.int32)), pa.array(around, pa.binary()).cast(pa.string())],
-                    names=["tnum", "p", "key", "lead", "around"],
-                )
+                hit, row, p = hit[good], row[good], (start[row] + offset)[good]
+                for s in range(0, len(hit), ROWS):  # a very common window may be found nearly everywhere
+                    yield rows(batch.column(0), at, text, hit[s : s + ROWS], row[s : s + ROWS], p[s : s + ROWS], width)
+
+    def rows(numbers: pa.Array, at: np.ndarray, text: np.ndarray, hit: np.ndarray, row: np.ndarray, p: np.ndarray, width: int) -> pa.RecordBatch:
+        first, last = np.maximum(at[row], hit - before), np.minimum(at[row + 1], hit + width + after)
+        around = [text[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
+        columns = [numbers.take(pa.array(row)), pa.array(p), rolling.texts(rolling.gather(text, hit, width)), pa.array((hit - first).astype(np.int32)), pa.array(around, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=["tnum", "p", "key", "lead", "around"])
 
     return pieces.mapInArrow(run, "tnum bigint, p bigint, key string, lead int, around string")
 
