@@ -1,10 +1,11 @@
-"""Connected components by alternating stars.
-
-Edges are first contracted within partitions, a bounded number at a time. Each round links every node's larger
-neighbours, then its smaller ones, to the least of them; every intermediate edge set is written to the shared folder.
-Rounds grow with the logarithm of the number of nodes. A node with very many neighbours is no long group: map tasks take
-minima first, and joins to them can be split (``anew``). As soon as no more than ``HELD`` edges are left, which is what
-any task may hold, one task contracts them all, in place of the rounds that were still to come.
+"""Connected components by contraction and alternating stars.
+
+Edges are contracted within partitions, a bounded number at a time, to a forest of those that a partition holds. The
+partitions are then made fewer, as many as hold ``HELD`` edges each, and contracted again for as long as that halves the
+edges; no more than ``HELD`` go to a single task, which ends the work. Where nodes are too many for that, rounds of stars
+follow: each links every node's larger neighbours, then its smaller ones, to the least of them, and contracts again.
+Rounds grow with the logarithm of the number of nodes; every intermediate edge set is written to the shared folder. A
+node with very many neighbours is no long group: map tasks take minima first, and joins to them can be split (``anew``).
 """
 
 from __future__ import annotations
@@ -83,16 +84,31 @@ def components(edges: DataFrame, what: str) -> DataFrame:
     """node and root (the least node that it reaches) of all nodes of an edge list a, b of integers; loops are dropped."""
     spark = edges.sparkSession
     edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = stored(_contracted(edges.repartition("a")).distinct(), f"{what}-0")
     state = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    before, k = state(now), 0
-    while before[0] > HELD:
+    now, k = stored(_contracted(edges.repartition("a")), f"{what}-0"), 0
+
+    def replaced(after: DataFrame) -> tuple:
+        """Writes the next edge set in the place of the present one."""
+        nonlocal now, k
         k += 1
-        after = stored(_star(now), f"{what}-{k}")
-        if (reached := state(after)) == before:
-            break
+        after = stored(after, f"{what}-{k}")
         forget(spark, now)
-        now, before = after, reached
+        now = after
+        return state(now)
+
+    def narrowed(found: tuple) -> tuple:
+        """Contracts in ever fewer partitions; stars around the least nodes, as components end, stay as they are."""
+        while found[0] > HELD:
+            before, found = found[0], replaced(_contracted(now.repartition(-(-found[0] // max(1, HELD)), "a", "b")))
+            if 2 * found[0] > before:
+                break
+        return found
+
+    before = narrowed(state(now))
+    while before[0] > HELD:
+        if (reached := narrowed(replaced(_star(now)))) == before:
+            break
+        before = reached
     if 0 < before[0] <= HELD:
-        now = stored(_contracted(now.repartition(1)), f"{what}-last")
+        replaced(_contracted(now.repartition(1)))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -146,11 +146,11 @@ def test_components_of_more_edges_than_a_task_holds():
     assert dict(zip(now[0], now[1])) == {k: v for k, v in whole.items() if k != v}
 
 
-@pytest.mark.parametrize("held", [0, 1 << 20])
+@pytest.mark.parametrize("held", [0, 30, 100, 1 << 20])
 def test_components_by_star_rounds_and_by_one_task_agree(spark, monkeypatch, held):
     from strandloom.llm import components as C
 
-    monkeypatch.setattr(C, "HELD", held)  # no edges are few enough, or all are
+    monkeypatch.setattr(C, "HELD", held)  # no edges are few enough, some are after contraction, or all are
     edges = [(i, i + 1) for i in range(0, 60)] + [(500, i) for i in range(400, 460)] + [(900, 901), (901, 900), (7, 7)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(8), "test").collect()}
     assert got == {(i, 0) for i in range(61)} | {(i, 400) for i in [*range(400, 460), 500]} | {(900, 900), (901, 900)}
