@@ -24,10 +24,10 @@ from math import comb, exp, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, Memo, anew, arrow_map, mixed, pick, place, resident, slices, stored
+from .common import BLANKS, LOWER, Memo, anew, arrow_map, forget, mixed, pick, place, resident, slices, stored
 from .components import components
 
 _TABLE = bytes(32 if c in BLANKS else LOWER[c] for c in range(256))
@@ -41,6 +41,8 @@ SAMPLE, COMMON = 50_000, 500_000
 LIST_COST, MOST_LIGHT, SHORT_BYTES = 3, 40, 768
 #: Bits of the filter over candidate texts' ids.
 FILTER_BITS = 1 << 26
+#: What the first passes give: rows of three kinds.
+ENTRY, ENTRY_NAMES = "kind tinyint, a bigint, b bigint, n int, own_check bigint", ["kind", "a", "b", "n", "own_check"]
 
 
 class Plan:
@@ -135,10 +137,12 @@ def shingles(n: int) -> Shingles:
     return resident(f"shingles {n}", lambda: Shingles(n))
 
 
-def digest(own: np.ndarray) -> int:
-    """A signed 64-bit digest of a set."""
+def digest(own: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit digests of a set: its node, and a check that tells sets of one node apart."""
     with np.errstate(over="ignore"):
-        return int(mixed(mixed(own).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own))).astype(np.int64)[0])
+        sums = np.array([mixed(own).sum(dtype=np.uint64), mixed(own ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)])
+        node, check = mixed(sums + np.uint64(len(own))).astype(np.int64).tolist()
+        return node, check
 
 
 def entries(own: np.ndarray, p: Plan, common: np.ndarray | None = None) -> np.ndarray:
@@ -221,7 +225,7 @@ def measured(rows: DataFrame, n: int, part: int, whole: int) -> tuple[dict[int,
                 if 0 < len(own) <= MOST_LIGHT:
                     k = entries(own, every)
                     size.append(np.full(len(k), len(own)))
-                    node.append(np.full(len(k), digest(own)))
+                    node.append(np.full(len(k), digest(own)[0]))
                     key.append(k.astype(np.int64))
             if size:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(size).astype(np.int32)), pa.array(np.concatenate(node)), pa.array(np.concatenate(key))], names=["s", "node", "key"])
@@ -234,11 +238,12 @@ def measured(rows: DataFrame, n: int, part: int, whole: int) -> tuple[dict[int,
     got = lists.groupBy("s").agg((F.sum(F.col("c") * F.col("c")) / F.sum("c")).alias("length"))
     lengths = {r["s"]: r["length"] for r in got.collect()}  # MOST_LIGHT rows
     sets = {r["s"]: r["count"] for r in found.select("s", "node").distinct().groupBy("s").count().collect()}
+    forget(rows.sparkSession, found)
     return sets, lengths
 
 
 def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
-    """kind 0: a = digest, b = id, n; kind 1: a = key, b = digest; kind 2: a = digest, b = digest of a candidate."""
+    """kind 0: a = node, b = id, n, own_check; kind 1: a = key, b = node; kind 2: a = node, b = node of a candidate."""
     # for higher thresholds ranges hold so many shingles that frequent ones hardly ever fill one
     common = common_shingles(rows, n) if 100 * part < 88 * whole else np.zeros(0, np.uint64)
     sent = rows.sparkSession.sparkContext.broadcast(common)
@@ -248,8 +253,10 @@ def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFr
         own_plan, of, seen = plan(part, whole, light), shingles(n).of, set()
         keys, nodes, held = [], [], [0]
 
-        def batch_of(kind: int, a, b, size) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(size, pa.int32())], names=["kind", "a", "b", "n"])
+        def batch_of(kind: int, a, b, size=None, check=None) -> pa.RecordBatch:
+            none = np.zeros(len(a), np.int64)
+            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(none if size is None else size, pa.int32()), pa.array(none if check is None else check, pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), *columns], names=ENTRY_NAMES)
 
         def flush():
             if not keys:
@@ -260,32 +267,33 @@ def _nodes_and_entries(rows: DataFrame, n: int, part: int, whole: int) -> DataFr
             order = np.lexsort((d, k))
             first, hub, k = _runs(k[order], d[order])
             d = d[order]
-            yield batch_of(1, k[first], d[first], np.zeros(first.sum(), np.int32))
+            yield batch_of(1, k[first], d[first])
             if len(pairs := np.unique(np.stack([d[hub != d], hub[hub != d]]), axis=1).T):
-                yield batch_of(2, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int32))
+                yield batch_of(2, pairs[:, 0], pairs[:, 1])
 
         def each(batch: pa.RecordBatch):
             at, data = slices(batch.column(1))
-            ids, a, size = batch.column(0).to_pylist(), [], []
+            ids, a, size, check = batch.column(0).to_pylist(), [], [], []
             for i, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
                 own = of(bytes(data[x:y]))
-                d = digest(own)
+                d, c = digest(own)
                 a.append(d)
+                check.append(c)
                 size.append(len(own))
-                if len(own) and ids[i] is not None and d not in seen:
-                    seen.add(d)
+                if len(own) and ids[i] is not None and (d, c) not in seen:
+                    seen.add((d, c))
                     if len(k := entries(own, own_plan, sent.value)):
                         keys.append(k)
                         nodes.append(np.full(len(k), d, np.int64))
                         held[0] += len(k)
-            yield batch_of(0, a, ids, size)
+            yield batch_of(0, a, ids, size, check)
             if held[0] > HELD:
                 yield from flush()
 
         each.finish = flush
         return each
 
-    return arrow_map(rows, make, "kind tinyint, a bigint, b bigint, n int", keeps=f"shingles {n}")
+    return arrow_map(rows, make, ENTRY, keeps=f"shingles {n}")
 
 
 def _joined_lists(rows: DataFrame) -> DataFrame:
@@ -308,11 +316,11 @@ def _joined_lists(rows: DataFrame) -> DataFrame:
             last[:] = keys[-1], hub[-1]
             pairs = np.unique(np.stack([nodes[hub != nodes], hub[hub != nodes]]), axis=1).T
             if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), 2, np.int8)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.zeros(len(pairs), np.int32))], names=["kind", "a", "b", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), 2, np.int8)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.zeros(len(pairs), np.int32)), pa.array(np.zeros(len(pairs), np.int64))], names=ENTRY_NAMES)
 
         return each
 
-    return arrow_map(dealt, make, "kind tinyint, a bigint, b bigint, n int", rows=1 << 20)
+    return arrow_map(dealt, make, ENTRY, rows=1 << 20)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -359,11 +367,12 @@ def forest(links: np.ndarray) -> np.ndarray:
     return root
 
 
-def _verified(blocks: DataFrame, part: int, whole: int) -> DataFrame:
-    """Rows root, i, j, side, node, times, own, grouped by root, i and j: kind 0: a, b = nodes of a forest of links; kind 1: a = node, b = links."""
+def _verified(blocks: DataFrame, n: int, part: int, whole: int) -> DataFrame:
+    """Rows root, i, j, side, node, times, text, grouped by root, i and j: kind 0: a, b = nodes of a forest of links; kind 1: a = node, b = links."""
 
     def make():
         group: list = []
+        of = shingles(n).of
 
         def done():
             if len(group) < 2:
@@ -371,14 +380,14 @@ def _verified(blocks: DataFrame, part: int, whole: int) -> DataFrame:
                 return
             side = np.array([r[3] for r in group])
             nodes, times = np.array([r[4] for r in group], np.int64), np.array([r[5] for r in group], np.int64)
-            sets = [np.frombuffer(r[6], np.uint64) for r in group]
-            n = len(group)
-            if (own := group[0][1] == group[0][2]):
+            sets = [r[6] for r in group]
+            many = len(group)
+            if group[0][1] == group[0][2]:
                 full = linked(sets, sets, part, whole)
-                full[np.arange(n), np.arange(n)] = False
+                full[np.arange(many), np.arange(many)] = False
             else:
                 x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-                full = np.zeros((n, n), bool)
+                full = np.zeros((many, many), bool)
                 if len(x) and len(y):
                     cross = linked([sets[i] for i in x], [sets[i] for i in y], part, whole)
                     full[np.ix_(x, y)], full[np.ix_(y, x)] = cross, cross.T
@@ -386,7 +395,7 @@ def _verified(blocks: DataFrame, part: int, whole: int) -> DataFrame:
             if not full.any():
                 return
             root, counts = forest(full), full.astype(np.float64) @ times
-            at, some = np.flatnonzero(root != np.arange(n)), np.flatnonzero(counts)
+            at, some = np.flatnonzero(root != np.arange(many)), np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([0, 1], np.int8), [len(at), len(some)])), pa.array(np.concatenate([nodes[at], nodes[some]])), pa.array(np.concatenate([nodes[root[at]], counts[some].astype(np.int64)]))], names=["kind", "a", "b"])
 
         def each(batch: pa.RecordBatch):
@@ -394,17 +403,20 @@ def _verified(blocks: DataFrame, part: int, whole: int) -> DataFrame:
                 if group and row[:3] != group[0][:3]:
                     yield from done()
                 if not group or row[4] != group[-1][4]:  # a repeated row gives its set twice
-                    group.append(row)
+                    group.append((*row[:6], of(row[6])))
 
         each.finish = done
         return each
 
-    dealt = blocks.select("root", "i", "j", "side", "node", "times", "own").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "side", "node")
-    return arrow_map(dealt, make, "kind tinyint, a bigint, b bigint")
+    dealt = blocks.select("root", "i", "j", "side", "node", "times", "text").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "side", "node")
+    return arrow_map(dealt, make, "kind tinyint, a bigint, b bigint", keeps=f"shingles {n}")
+
 
+def _texts(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """id, node, own_check and text of the texts whose ids may be in ``wanted`` (column id): a filter of fixed size decides.
 
-def _sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """id, node (digest) and own (packed hashes) of the texts whose ids may be in ``wanted`` (column id): a filter of fixed size decides."""
+    A shuffle compresses texts; packed hashes take about twice the room of their text and don't give way.
+    """
     place = F.pmod(F.xxhash64(F.col("id")), F.lit(FILTER_BITS))
     bits = wanted.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits")).collect()
     whole = np.zeros(FILTER_BITS // 8 + 8192, np.uint8)
@@ -424,13 +436,13 @@ def _sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 return
             batch = batch.take(pa.array(hit))
             at, data = slices(batch.column(1))
-            sets = [of(bytes(data[x:y])) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(digest, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "node", "own"])
+            both = np.array([digest(of(bytes(data[x:y]))) for x, y in zip(at[:-1].tolist(), at[1:].tolist())], np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(both[:, 0]), pa.array(both[:, 1]), batch.column(1)], names=["id", "node", "own_check", "text"])
 
         return each
 
     rows = documents.filter(F.col("id").isNotNull()).select("id", "text", place.alias("p"))
-    return arrow_map(rows, make, "id bigint, node bigint, own binary", keeps=f"shingles {n}")
+    return arrow_map(rows, make, "id bigint, node bigint, own_check bigint, text binary", keeps=f"shingles {n}")
 
 
 def _placed(members: DataFrame, part: int, whole: int) -> DataFrame:
@@ -464,17 +476,23 @@ def join(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_col: st
 
 
 def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
-    """What ``join`` gives for rows id, text, and the node (digest of the set) and root (of the component; null where nothing can link) of each."""
-    found = stored(_joined_lists(_nodes_and_entries(rows.withColumn("text", F.col("text").cast("binary")), n, part, whole)), "jaccard")
-    docs = found.filter("kind = 0").select(F.col("a").alias("node"), F.col("b").alias("id"), F.col("n").cast("bigint").alias("n_shingles"))
-    nodes = docs.filter("n_shingles > 0 and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.min("n_shingles").alias("n"))
+    """What ``join`` gives for rows id, text, and the digests of the set and root (of the component; null where nothing can link) of each."""
+    texts = rows.withColumn("text", F.col("text").cast("binary"))
+    found = stored(_joined_lists(_nodes_and_entries(texts, n, part, whole)), "jaccard")
+    docs = stored(found.filter("kind = 0").select(F.col("a").alias("digest"), "own_check", F.col("b").alias("id"), F.col("n").cast("bigint").alias("n_shingles")), "documents")
+    # different sets of one 64-bit digest are nodes of their own, which share its candidates
+    nodes = docs.filter("n_shingles > 0 and id is not null").groupBy("digest", "own_check").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.min("n_shingles").alias("n"))
+    first = F.min("own_check").over(Window.partitionBy("digest")) == F.col("own_check")
+    nodes = nodes.withColumn("node", F.when(first, F.col("digest")).otherwise(F.xxhash64("digest", "own_check")))
     nodes = stored(nodes, "nodes")
     # candidates: components of shared subsets and lists, in blocks of bounded size
     candidates = components(found.filter("kind = 2").select("a", "b"), "candidates")
-    members = stored(candidates.join(nodes, "node"), "members")
+    forget(rows.sparkSession, found)
+    members = stored(candidates.withColumnRenamed("node", "digest").join(nodes, "digest"), "members")
     placed = _placed(members, part, whole)
-    # the small tables first: sets are dealt twice only, by id and by block
-    members = placed.join(_sets(rows.withColumn("text", F.col("text").cast("binary")), members.select("id"), n), ["id", "node"])
+    # the small tables first: texts are dealt twice only, by id and by block
+    known = _texts(texts, members.select("id"), n).withColumnRenamed("node", "digest")
+    members = placed.join(known, ["id", "digest", "own_check"])
     code = lambda band, block: F.shiftleft(band, 32) + block
     mine, band = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")), F.col("band")
     others = lambda count, pair: F.transform(F.when(F.col(count) > 0, F.sequence(F.lit(0).cast("long"), F.col(count).cast("long") - 1)).otherwise(F.array().cast("array<bigint>")), pair)
@@ -482,14 +500,17 @@ def _linked(rows: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     within = others("blocks", lambda x: pair(code(band, F.least(F.col("mine"), x)), code(band, F.greatest(F.col("mine"), x)), (F.col("mine") > x).cast("int")))
     after = others("blocks_after", lambda x: pair(code(band, F.col("mine")), code(band + 1, x), F.lit(0)))
     before = others("blocks_before", lambda x: pair(code(band - 1, x), code(band, F.col("mine")), F.lit(1)))
-    pairs = members.withColumn("mine", mine).select("root", "node", "times", "own", F.inline(F.concat(within, after, before)))
-    true = stored(_verified(pairs, part, whole), "links")
+    pairs = members.withColumn("mine", mine).select("root", "node", "times", "text", F.inline(F.concat(within, after, before)))
+    true = stored(_verified(pairs, n, part, whole), "links")
     links = true.filter("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     least = nodes.join(components(true.filter("kind = 0").select("a", "b"), "components"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = least.groupBy("root").agg(F.min("id").alias("component_id"))
-    classes = least.join(ids.select(anew("root").alias("of"), "component_id"), F.col("root") == F.col("of")).join(links, "node", "left").select("node", "root", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes.withColumn("of", anew("node")).drop("node"), F.col("node") == F.col("of")).select("id", "node", "root", "n_shingles", "component_id", "n_links")
-    alone = docs.filter("n_shingles = 0 or id is null").select("id", "node", F.lit(None).cast("bigint").alias("root"), "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
+    classes = least.join(ids.select(anew("root").alias("of"), "component_id"), F.col("root") == F.col("of")).join(links, "node", "left")
+    classes = classes.select(anew("digest").alias("of"), F.col("own_check").alias("of_check"), "node", "root", "component_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    same = (F.col("digest") == F.col("of")) & (F.col("own_check") == F.col("of_check"))
+    columns = ["id", "digest", "own_check", "root", "n_shingles", "component_id", "n_links"]
+    linkable = docs.filter("n_shingles > 0 and id is not null").join(classes, same).select(*columns)
+    alone = docs.filter("n_shingles = 0 or id is null").withColumns({"root": F.lit(None).cast("bigint"), "component_id": F.col("id"), "n_links": F.lit(0).cast("bigint")}).select(*columns)
     return linkable.unionByName(alone)
 
 
@@ -508,10 +529,10 @@ def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_
     ids = stored(ids.select("id", (F.col("links") & (F.col("times") > 1)).alias("shared")), "least-ids")
     kept = plain.join(ids.filter("not shared").select("id"), key == F.col("id"), "left_semi").unionByName(plain.filter(plain[f"_c{at}"].isNull()))
     if not (shared := ids.filter("shared").select("id")).isEmpty():
-        mine = linked.join(shared, "id", "left_semi").filter(least).select(F.col("id").alias("of"), F.col("node").alias("own"), "root").distinct()
+        mine = linked.join(shared, "id", "left_semi").filter(least).select(F.col("id").alias("of"), F.col("digest").alias("own"), F.col("own_check").alias("check"), "root").distinct()
         rows = plain.join(shared, key == F.col("id"), "left_semi").select(F.struct("*").alias("row"), key.alias("id"), F.col(f"_c{text_at}").cast("string").cast("binary").alias("text"))
         rows = _with_nodes(rows, n).withColumn("order", F.struct(F.xxhash64("row.`_c%d`" % text_at), F.monotonically_increasing_id()))
-        rows = rows.join(mine, (F.col("id") == F.col("of")) & (F.col("node") == F.col("own")))
+        rows = rows.join(mine, (F.col("id") == F.col("of")) & (F.col("node") == F.col("own")) & (F.col("own_check") == F.col("check")))
         # map tasks choose first, so a row repeated very often is no long group
         one = rows.filter("root is not null").groupBy("root").agg(F.min_by("row", "order").alias("row")).select("row")
         kept = kept.unionByName(one.unionByName(rows.filter("root is null").select("row")).select("row.*"))
@@ -519,16 +540,16 @@ def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_
 
 
 def _with_nodes(rows: DataFrame, n: int) -> DataFrame:
-    """row, id and node (digest of the text's set) of rows row, id, text."""
+    """row, id, node and own_check (digests of the text's set) of rows row, id, text."""
 
     def make():
         of = shingles(n).of
 
         def each(batch: pa.RecordBatch):
             at, data = slices(batch.column(2))
-            nodes = [digest(of(bytes(data[x:y]))) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], names=["row", "id", "node"])
+            both = np.array([digest(of(bytes(data[x:y]))) for x, y in zip(at[:-1].tolist(), at[1:].tolist())], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["row", "id", "node", "own_check"])
 
         return each
 
-    return arrow_map(rows, make, f"row {rows.schema['row'].dataType.simpleString()}, id bigint, node bigint", keeps=f"shingles {n}")
+    return arrow_map(rows, make, f"row {rows.schema['row'].dataType.simpleString()}, id bigint, node bigint, own_check bigint", keeps=f"shingles {n}")

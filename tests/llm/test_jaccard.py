@@ -155,3 +155,16 @@ def test_components_by_star_rounds_and_by_one_task_agree(spark, monkeypatch, hel
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(8), "test").collect()}
     assert got == {(i, 0) for i in range(61)} | {(i, 400) for i in [*range(400, 460), 500]} | {(900, 900), (901, 900)}
     assert not components(spark.createDataFrame([(3, 3)], "a long, b long"), "test").count()
+
+
+def test_different_sets_of_one_digest_stay_apart(spark, monkeypatch):
+    one, two = [f"a{k}" for k in range(40)], [f"b{k}" for k in range(40)]
+    found = [(1, " ".join(one)), (2, " ".join(one + ["x"])), (3, " ".join(two)), (4, " ".join(two + ["y"])), (5, " ".join(two)), (6, "quite another text")]
+    known = {J.digest(J.Shingles(3).of(t.encode())): k % 2 for k, t in found[:5]}
+    real = J.digest
+    # the texts 1 and 3, and 2 and 4, get one digest
+    monkeypatch.setattr(J, "digest", lambda own: (known.get(real(own), real(own)[0]), real(own)[1]))
+    got = sorted(map(tuple, J.join(spark.createDataFrame(found, "doc_id long, text string"), 3, 90, 100).collect()))
+    assert got == brute(found, 3, 90, 100)
+    kept = J.deduplicate(spark.createDataFrame([*found, (1, found[2][1])], "doc_id long, text string"), 3, 90, 100)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 6]
