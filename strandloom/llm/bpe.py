@@ -127,7 +127,7 @@ class Encoder:
         self.of_word = Memo(lambda w: self._pack(vocabulary.merge(w.encode())), most=100_000)
         self.head = Memo(self._piece, most=50_000)
         self.later = Memo(lambda piece: self._piece(" " + piece), most=50_000)  # of texts taken whole
-        self.rest = Memo(self._rest, most=400_000)
+        self.rest = Memo(self._rest, most=200_000)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -201,7 +201,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary", rows=2048, keeps=f"encoder {path}")
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary", rows=1024, keeps=f"encoder {path}")
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -237,7 +237,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         return each
 
     rows = pick(df, **{id_col: "bigint", text_col: "string"})
-    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string", rows=2048, keeps=f"encoder {path}")
+    return arrow_map(rows, make, f"`{id_col}` bigint, n_tokens bigint, ids binary, text string", rows=1024, keeps=f"encoder {path}")
 
 
 def digests(documents: DataFrame, path: str) -> DataFrame:
