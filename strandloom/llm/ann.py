@@ -3,8 +3,10 @@ product-quantised, asymmetric distance tables, and exact reranking.
 
 Equal vectors are one entry that carries the smallest ids of its rows, as many as a result can hold and one more, so
 a very common vector is one row of one list. Centroids and codebooks are fitted on a bounded sample; every entry is
-indexed. Lists are cut into blocks, as are the queries that probe one, and only codes meet queries there. A query
-keeps one bounded list of the nearest by code distance over all the lists it probes; vectors are joined to these alone.
+indexed. How many lists are probed is read from the true neighbours, among all entries, of some of the queries
+themselves: queries may lie elsewhere than most entries. Lists are cut into blocks, as are the queries that probe one.
+Of a block the nearest by code distance, and all that tie with them, are scored exactly, and only those leave it that
+are no farther than the nearest of the sample that the query is sure to have.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import pick, place, ship, stored
 
 #: Vectors that centroids and codebooks are fitted on; codewords a part; entries and queries of a block; queries scored
-#: at a time; coded sample vectors that tell a query what score the nearest may have.
-SAMPLE, WORDS, BLOCK, QUERY_BLOCK, QUERIES, GAUGE = 20_000, 256, 4096, 4096, 128, 8192
+#: at a time; queries whose true neighbours say how many lists all have to probe.
+SAMPLE, WORDS, BLOCK, QUERY_BLOCK, QUERIES, GAUGE = 20_000, 256, 4096, 4096, 128, 512
 
 
 def _means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -67,18 +69,10 @@ class Coder:
         rest = self.cut(x - self.centres[own])
         return own, np.stack([nearest(np.ascontiguousarray(rest[:, p]), b)[0].astype(np.uint8) for p, b in enumerate(self.books)], axis=1)
 
-    def probes(self, sample: np.ndarray, k: int, share: float, seed: int = 19) -> int:
-        """How many lists hold ``share`` of the ``k`` nearest that some of the sample have within the sample.
-
-        Neighbours within a sample are farther than those within all entries, so this errs on the side of more lists.
-        """
-        q = sample[np.random.default_rng(seed).permutation(len(sample))[:400]]
-        near = q @ sample.T
-        top = np.argpartition(-near, min(k, len(sample) - 1), axis=1)[:, : k + 1]
-        own = nearest(sample, self.centres)[0]
-        place = np.argsort(np.argsort(-(q @ self.centres.T), axis=1), axis=1)  # of each list in a query's order
-        places = np.sort(np.take_along_axis(place, own[top], axis=1).ravel())
-        return int(places[min(len(places) - 1, int(len(places) * share))]) + 1
+    def places(self, q: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """Of each query the place of one list in the order in which the query probes them, from 0."""
+        near = q @ self.centres.T
+        return (near > near[np.arange(len(q)), lists][:, None]).sum(1)
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """Inner products of the queries' parts with all codewords: queries x parts x codewords."""
@@ -87,7 +81,6 @@ class Coder:
             out[:, p, : len(b)] = parts[:, p] @ b.T
         return out
 
-
     def by_codes(self, q: np.ndarray, coarse: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Scores of coded entries for queries: those of the centroids, and by the tables those of the residuals."""
         tables, out = self.tables(q), coarse.astype(np.float32)
@@ -100,6 +93,10 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float32) if len(column) else np.zeros((0, 1), np.float32)
 
 
+def _doubles(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
+
+
 def _usable(rows: DataFrame, kind: str) -> DataFrame:
     e = F.col("e")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
@@ -122,14 +119,48 @@ def _plan(index: DataFrame, asked: DataFrame) -> DataFrame:
     return held.join(wanted, "list")
 
 
+def _probes(asked: DataFrame, index: DataFrame, entries: DataFrame, coder: Coder, k: int, reach: float) -> int:
+    """How many lists hold ``reach`` of the true ``k`` nearest of at most ``GAUGE`` queries, which meet all entries."""
+    some = asked.orderBy(F.xxhash64(F.lit("gauge"), "q")).limit(GAUGE).toArrow()
+    if not some.num_rows:
+        return 1
+    numbers, vectors = some["q"].to_numpy(), _doubles(some["e"].combine_chunks())
+    sent = asked.sparkSession.sparkContext.broadcast(vectors)
+
+    def nearest_of(batches):
+        """Each query's nearest of a task's entries, and the places of the lists that they are in."""
+        queries, held = sent.value, [np.zeros((len(sent.value), 0)), np.zeros((len(sent.value), 0), np.int64), np.zeros((len(sent.value), 0), np.int64)]
+        for batch in batches:
+            for s in range(0, batch.num_rows, 2048):
+                part = batch.slice(s, 2048)
+                own = np.broadcast_to(part.column(1).to_numpy(), (len(queries), len(part)))
+                lists = np.broadcast_to(part.column(0).to_numpy().astype(np.int64), own.shape)
+                held = [np.concatenate(x, axis=1) for x in zip(held, (queries @ _doubles(part.column(2)).T, own, lists))]
+                if held[0].shape[1] > k + 1:
+                    top = np.argpartition(held[0], -k - 1, axis=1)[:, -k - 1 :]
+                    held = [np.take_along_axis(x, top, axis=1) for x in held]
+        n = held[0].shape[1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(queries)), n)), *(pa.array(x.ravel()) for x in held)], names=["i", "score", "h", "list"])
+
+    near = _best(index.select("list", "h", "e").mapInArrow(nearest_of, "i bigint, score double, h bigint, list bigint"), ["i"], [F.desc("score"), F.col("h")], k + 1)
+    hits = _best(near.join(entries, "h").select("i", "score", "list", F.explode("ids").alias("id")), ["i"], [F.desc("score"), F.col("id")], k + 1).toArrow()  # GAUGE times k + 1 rows at most
+    i, other = hits["i"].to_numpy(), hits["id"].to_numpy()
+    i, lists = i[other != numbers[i]], hits["list"].to_numpy()[other != numbers[i]]
+    if not len(i):
+        return 1
+    places = np.sort(coder.places(vectors[i].astype(np.float32), lists))
+    return int(places[min(len(places) - 1, int(len(places) * reach))]) + 1
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.97, rerank: int = 512, parts: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row whose id is divisible by ``every``.
 
     All rows but the query's own are candidates, all if there are no more than ``k``; ties go to the smaller id.
     Null and zero vectors, those with null or non-finite components, those of another length than most, and rows
     without an id take no part, as query or candidate; of repeated rows one counts; an empty table gives an empty one.
-    A query searches as many lists as hold ``reach`` of the neighbours of a sample. Of all that it finds there the
-    ``rerank`` entries nearest by their codes, and only these, are scored exactly, in double precision.
+    A query searches as many lists as hold ``reach`` of the true neighbours of ``GAUGE`` queries at most, which are
+    held against all entries, and as many as hold ``rerank`` entries. Of each block of a list the ``rerank`` entries nearest by their codes, and those with the
+    same codes, are scored exactly, in double precision.
     """
     double = vectors.schema.fields[place(vectors, vector_col)].dataType.simpleString() == "array<double>"
     kind = "double" if double else "float"
@@ -138,7 +169,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.97
     entries = stored(entries, "entries")
     n = entries.count()
     share = min(1 << 30, int((1 << 30) * SAMPLE / max(1, n)) + 1)
-    sample = entries.filter(F.pmod(F.xxhash64(F.lit("fit"), "h"), F.lit(1 << 30)) < share).orderBy("h").select("e").limit(SAMPLE).toArrow()
+    sample = entries.filter(F.pmod(F.xxhash64(F.lit("fit"), "h"), F.lit(1 << 30)) < share).orderBy("h").select("h", "e").limit(SAMPLE).toArrow()
+    kept = 4 * (k + 1)  # of a query, before scores are summed in the order of the components
     spark, schema = vectors.sparkSession, f"query_id bigint, rank int, {id_col if id_col != 'query_id' else 'vec_id'} bigint, score double"
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
@@ -146,64 +178,81 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, reach: float = 0.97
     ship(spark)
     seen = _vectors(sample["e"].combine_chunks())  # SAMPLE vectors at most
     fitted = Coder(seen, lists, parts)
-    probes, coder = fitted.probes(seen, k, reach), spark.sparkContext.broadcast(fitted)
-    few = fitted.encode(seen[:GAUGE])
-    gauge = spark.sparkContext.broadcast(few)
-    # the place in the gauge below which an entry can't be among the nearest ``rerank`` of all; half as far again, for chance
-    place_of = max(8, int(1.5 * rerank * len(few[0]) / n) + 1)
+    coder = spark.sparkContext.broadcast(fitted)
+    # what queries are sure to have, if they probe its list: hashes, vectors and lists of the sample
+    sure = spark.sparkContext.broadcast((np.sort(sample["h"].to_numpy()), _doubles(sample["e"].combine_chunks()), nearest(seen, fitted.centres)[0]))
 
     def coded(batches):
         for batch in batches:
             own, codes = coder.value.encode(_vectors(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=["list", "h", "codes"])
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *batch.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.isin(batch.column(0).to_numpy(), sure.value[0]))], names=["list", "h", "e", "first", "codes", "sure"])
 
-    index = stored(entries.select("h", "e").mapInArrow(coded, "list int, h bigint, codes binary"), "index")
+    index = stored(entries.select("h", "e", F.col("ids")[0].alias("first")).mapInArrow(coded, f"list int, h bigint, e array<{kind}>, first bigint, codes binary, sure boolean"), "index")
     queries = rows.filter(F.col("id") % every == 0)
+    asked = queries.groupBy("h", "e").agg(F.min("id").alias("q")).select("q", "e")
+    probes = _probes(asked, index, entries, fitted, k, reach)
+    filled = np.zeros(len(fitted.centres), np.int64)
+    for r in index.groupBy("list").count().collect():  # as many rows as lists
+        filled[r["list"]] = r["count"]
 
     def probed(batches):
-        c, (own, codes) = coder.value, gauge.value
+        c = coder.value
         for batch in batches:
             q = _vectors(batch.column(1))
             near = q @ c.centres.T
-            m = min(probes, near.shape[1])
-            top = np.argpartition(-near, m - 1, axis=1)[:, :m].astype(np.int32)
-            least = np.full(len(q), -np.inf, np.float32)
-            if n > rerank and place_of <= len(own):
+            order = np.argsort(-near, axis=1, kind="stable").astype(np.int32)
+            # further lists where those hold fewer entries than are scored of a block
+            more = (np.cumsum(filled[order], axis=1) < max(k + 1, rerank)).sum(1) + 1
+            m = np.minimum(np.maximum(probes, more), order.shape[1])
+            chosen = np.arange(order.shape[1]) < m[:, None]
+            exact, least = _doubles(batch.column(1)), np.full(len(q), -np.inf)
+            _, held, lists_of = sure.value
+            if len(held) > k:  # so many entries of these lists are at least as near
+                searched = np.zeros(order.shape, bool)
+                np.put_along_axis(searched, order, chosen, axis=1)
                 for s in range(0, len(q), QUERIES):
-                    scores = c.by_codes(q[s : s + QUERIES], near[s : s + QUERIES][:, own], codes)
-                    least[s : s + QUERIES] = -np.partition(-scores, place_of - 1, axis=1)[:, place_of - 1]
-            wanted = pa.ListArray.from_arrays(pa.array(np.arange(0, top.size + 1, m, dtype=np.int32)), pa.array(top.ravel()))
+                    scores = np.where(searched[s : s + QUERIES][:, lists_of], exact[s : s + QUERIES] @ held.T, -np.inf)
+                    least[s : s + QUERIES] = np.partition(scores, -k - 1, axis=1)[:, -k - 1]
+            wanted = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m)]).astype(np.int32)), pa.array(order[chosen]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), wanted, pa.array(least)], names=["q", "e", "lists", "least"])
 
-    asked = queries.groupBy("h", "e").agg(F.min("id").alias("q")).select("q", "e")
-    asked = stored(asked.mapInArrow(probed, f"q bigint, e array<{kind}>, lists array<int>, least float"), "asked")
+    asked = stored(asked.mapInArrow(probed, f"q bigint, e array<{kind}>, lists array<int>, least double"), "asked")
     dealt = F.broadcast(stored(_plan(index, asked), "lists"))  # as many rows as lists
-    left = index.join(dealt, "list").select("list", "h", "codes", F.pmod("h", F.col("blocks").cast("long")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
+    left = index.join(dealt, "list").select("list", "h", F.col("e").cast("array<double>").alias("e"), "first", "codes", "sure", F.pmod("h", F.col("blocks").cast("long")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
     right = asked.select("q", "e", "least", F.explode("lists").alias("list")).join(dealt, "list")
-    right = right.select("list", "q", F.col("e").cast("array<float>").alias("e"), "least", F.pmod(F.xxhash64("q"), F.col("query_blocks").cast("long")).cast("int").alias("query_block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    right = right.select("list", "q", F.col("e").cast("array<double>").alias("e"), "least", F.pmod(F.xxhash64("q"), F.col("query_blocks").cast("long")).cast("int").alias("query_block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def found(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The entries of one block that may be among the nearest of the queries sent to it."""
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        """Of one block the entries that may be among the nearest of the queries sent to it."""
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         if left.num_rows and right.num_rows:
             c, centre = coder.value, coder.value.centres[left["list"][0].as_py()]
             codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(left.num_rows, -1)
-            h, asked_by, least = left["h"].to_numpy(), right["q"].to_numpy(), right["least"].to_numpy()
-            q = _vectors(right["e"].combine_chunks())
+            is_sure = left["sure"].to_numpy()
+            h, first, asked_by, least = left["h"].to_numpy(), left["first"].to_numpy(), right["q"].to_numpy(), right["least"].to_numpy()
+            x, q = _doubles(left["e"].combine_chunks()), _doubles(right["e"].combine_chunks())
             for s in range(0, len(q), QUERIES):
                 own = q[s : s + QUERIES]
-                scores = c.by_codes(own, np.repeat((own @ centre)[:, None], len(codes), axis=1), codes)
+                if len(codes) <= rerank:
+                    scores = own @ x.T
+                else:
+                    near, scores = own.astype(np.float32), np.full((len(own), len(codes)), -np.inf)
+                    coded = c.by_codes(near, np.repeat((near @ centre)[:, None], len(codes), axis=1), codes)
+                    some = (coded >= np.partition(coded, -rerank, axis=1)[:, -rerank, None]) | is_sure
+                    for i, chosen in enumerate(some):
+                        scores[i, chosen] = x[chosen] @ own[i]
                 bound = least[s : s + QUERIES]
-                if len(codes) > rerank:
-                    bound = np.maximum(bound, -np.partition(-scores, rerank - 1, axis=1)[:, rerank - 1])
-                i, j = np.nonzero(scores >= bound[:, None])
-                out.append((asked_by[s + i], h[j], scores[i, j]))
-        q, h, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
-        return pa.table([pa.array(q), pa.array(h), pa.array(score)], names=["q", "h", "near"])
+                if len(codes) > kept:
+                    bound = np.maximum(bound, np.partition(scores, -kept, axis=1)[:, -kept])
+                # sums in another order differ in the last bits
+                i, j = np.nonzero((scores >= (bound - 1e-9 * np.abs(bound))[:, None]) & (scores > -np.inf))
+                out.append((asked_by[s + i], h[j], first[j], scores[i, j]))
+        columns = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        return pa.table([pa.array(x) for x in columns], names=["q", "h", "first", "near"])
 
     keys = ("list", "block", "query_block")
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(found, "q bigint, h bigint, near float")
-    near = _best(near, ["q"], [F.desc("near"), F.col("h")], rerank).select("q", "h")
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(found, "q bigint, h bigint, first bigint, near double")
+    near = _best(near, ["q"], [F.desc("near"), F.col("first")], kept).select("q", "h")
     exact = F.aggregate(F.zip_with("e", "asked", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda x, y: x + y)
     scored = near.join(entries, "h").join(asked.select("q", F.col("e").alias("asked")), "q").select("q", exact.alias("score"), F.explode("ids").alias("id"))
     near = _best(scored, ["q"], [F.desc("score"), F.col("id")], k + 1)

@@ -140,6 +140,25 @@ def test_recall(spark):
     assert hit / n >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["queries elsewhere", "copies apart by very little"])
+def test_recall_on_other_rows(spark, kind):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((6000, 32))
+    if kind == "queries elsewhere":
+        x[np.arange(6000) % 20 > 0] *= 0.1
+        x[np.arange(6000) % 20 > 0] += 2 * rng.standard_normal(32)
+    else:
+        x = x[rng.integers(0, 2, 6000)] + 1e-5 * x
+    x = x.astype(np.float32).astype(np.float64)
+    got, hit, n = asked(ann.search(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>"))), 0, 0
+    for i in range(0, 6000, 20):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        assert [r for r, _, _ in got[i]] == list(range(1, 21))
+        hit, n = hit + len(set(np.argsort(-scores)[:20].tolist()) & {j for _, j, _ in got[i]}), n + 20
+    assert hit / n >= 0.95
+
+
 def test_language_model(spark):
     rng = random.Random(5)
     rows = [(k, " ".join(rng.choice(["the cat", "a dog", "Runs", "far", f"rare{rng.randrange(200)}"]) for _ in range(rng.randint(0, 30)))) for k in range(300)]
