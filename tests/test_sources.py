@@ -226,6 +226,14 @@ def test_fastq_in_seven_ranges_equals_one(spark, tmp_path):
     assert not stores.reachable("viewfs://store/in/reads.fastq") and not stores.reachable(str(tmp_path / "none"))
 
 
+def test_files_without_a_record_give_no_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "names string, seq string, qual string")
+    files.write_nonmatch(none, f"{tmp_path}/none.fastq")
+    assert files.read_fastq(spark, f"{tmp_path}/none.fastq").collect() == []
+    (tmp_path / "none.sz").mkdir()
+    assert files.framed_lines(spark, f"{tmp_path}/none.sz").collect() == []
+
+
 def test_targets_in_many_parts_are_one_file(spark, tmp_path):
     rows = spark.range(0, 500, numPartitions=5).select(F.concat_ws("\t", F.concat(F.lit("g"), F.col("id").cast("string")), F.lit("ACGT")).alias("value"))
     rows.write.text(str(tmp_path / "genes.txt"))
