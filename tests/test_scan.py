@@ -3,10 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strandloom.functions import rolling
+from strandloom.functions import sequences as S
 from strandloom.functions.sequences import hamming
 from strandloom.operators import matching, scan, windows
 from strandloom.operators.targets import prepare_targets
@@ -174,3 +176,25 @@ def test_a_million_pairs_of_one_key(spark):
     assert len(got) == 10
     every = sorted((t[:5], t[17:23], k, "5", r[:5], r[17:]) for k, t in enumerate(texts) for r in reads if sum(x != y for x, y in zip(r, t)) <= int((1 - 0.6) * 23.0))[:10]
     assert sorted((r["tseq"][:5], r["tseq"][17:], r["tnum"], str(r["p"]), r["seq"][:5], r["seq"][17:]) for r in got) == every
+
+
+def test_long_sequences_are_compared_as_they_are(spark):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("ACGTX"), n)) for n in (0, 1, 7, 300, 5000, 70_000)]
+    rows = [(k, a, b) for k, (a, b) in enumerate((a, b) for a in texts for b in texts)] + [(-1, None, "A"), (-2, "A", None)]
+    got = {r[0]: r[1] for r in S.differing(spark.createDataFrame(rows, "tnum long, a string, b string"), "tnum", "a", "b").collect()}
+    for k, a, b in rows[:-2]:
+        most = max(len(a), len(b))
+        assert got[k] == sum(x != y for x, y in zip(a.ljust(most, "X"), b.ljust(most, "X")))
+    assert got[-1] is None and got[-2] is None
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    from strandloom.plans.staging import BATCH_BYTES, in_batches
+
+    def each(batch):
+        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "n"])
+
+    long = spark.range(0, 4000, numPartitions=1).select(F.repeat(F.lit("ACGT"), 2500).alias("seq"))
+    got = in_batches(long, each, "bytes bigint, n bigint").collect()
+    assert sum(r["n"] for r in got) == 4000 and max(r["bytes"] for r in got) <= 1.1 * BATCH_BYTES
