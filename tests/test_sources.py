@@ -247,3 +247,11 @@ def test_targets_in_many_parts_are_one_file(spark, tmp_path):
 def test_paths():
     assert files.nonmatch_path("/d/result.txt") == "/d/result.nonmatch.txt.fastq"
     assert files.is_fasta("x.FASTA") and not files.is_fasta("x.fa")
+
+
+def test_totals_of_framed_ranges_are_counted_apart(spark, tmp_path):
+    some = [f"line {k} " + "x" * (k % 5000) for k in range(400)]
+    files.write_framed(spark.createDataFrame([(x,) for x in some], "value string").repartition(3), f"{tmp_path}/a.sz")
+    reader = spark.read.format("strandloom_framed").option("rangeBytes", 20_000)
+    rows = reader.option("totals", "false").load(f"{tmp_path}/a.sz").groupBy("file", "block").count().collect()
+    assert sorted(map(tuple, reader.option("totals", "true").load(f"{tmp_path}/a.sz").collect())) == sorted(map(tuple, rows))
