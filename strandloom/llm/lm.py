@@ -26,8 +26,8 @@ from .common import LOWER, arrow_map, fold, pick, slices, stored
 #: Most words that are sent to executors; symbols that are words; contexts that are words; classes of other words;
 #: numbers per vector.
 HEAD, SYMBOLS, CONTEXTS, CLASSES, DIM = 300_000, 7168, 3071, 1024, 32
-#: Steps of the estimation, pairs and noise symbols drawn for each; draws of pairs that the driver holds.
-STEPS, DRAWN, NOISE, DRAWS = 1500, 4096, 256, 8 << 20
+#: Steps of the estimation over all pairs; noise symbols for each pair.
+ROUNDS, NOISE = 60, 256
 #: Counted words and pairs that a task holds before it passes them on.
 HELD = 500_000
 END = b"\n"  # the end token; no word holds it
@@ -197,56 +197,60 @@ def _sums(like: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(pairs: DataFrame, head: Head, seed: int = 3) -> Model:
-    """Trains by noise-contrastive estimation: ``STEPS`` times ``DRAWN`` pairs by their counts, each against the same
-    ``NOISE`` symbols drawn by theirs.
+def whole_counts(pairs: DataFrame) -> np.ndarray:
+    """All counts of pairs as one array of contexts x symbols, of one size however large the training part is."""
+    n = np.zeros((_BEGIN + 1) * _ALL, np.float32)
+    # a context's cells in one row, some partitions at a time
+    rows = pairs.groupBy(F.floor(F.col("cell") / _ALL).alias("context")).agg(F.collect_list("cell").alias("cells"), F.collect_list(F.col("n").cast("double")).alias("n"))
+
+    def packed(batches):
+        for batch in batches:
+            for cells, times in zip(batch.column(1), batch.column(2)):
+                yield pa.RecordBatch.from_arrays([pa.array([cells.values.to_numpy().astype("<i4").tobytes()], pa.binary()), pa.array([times.values.to_numpy().astype("<f4").tobytes()], pa.binary())], names=["cells", "n"])
+
+    for r in rows.mapInArrow(packed, "cells binary, n binary").toLocalIterator():
+        n[np.frombuffer(r["cells"], "<i4")] = np.frombuffer(r["n"], "<f4")
+    return n.reshape(-1, _ALL)
 
-    All pairs of the training part are counted. What comes to the driver is that many draws from these counts, at most
-    ``DRAWS``: of each pair its share, rounded up or down by its hash; with fewer tokens than that the counts themselves.
+
+def fit(pairs: DataFrame, head: Head, seed: int = 3) -> Model:
+    """Trains by noise-contrastive estimation over all counts: in each of ``ROUNDS`` steps every pair of the training part
+    counts as often as it occurs, against ``NOISE`` noise symbols each, all symbols in the shares that they have.
     """
     rng = np.random.default_rng(seed)
-    share = min(1.0, DRAWS / max(1, head.total))
-    chance = F.pmod(F.xxhash64("cell"), F.lit(1 << 20)) / float(1 << 20)
-    got = pairs.select("cell", F.floor(F.col("n") * share + chance).alias("n")).filter("n > 0").toArrow()
-    cell, upto = got["cell"].to_numpy(), np.cumsum(got["n"].to_numpy())
+    count = whole_counts(pairs)
+    of_context = count.sum(1, dtype=np.float64)
     n = np.concatenate([np.pad(head.n[:SYMBOLS], (0, max(0, SYMBOLS - len(head.n)))), head.class_n])
     some = n > 0
     noise = n / max(1.0, n.sum())
-    bound = np.cumsum(noise)
     with np.errstate(divide="ignore"):
         log_noise = np.log(noise).astype(np.float32)
     p = {"r": (rng.standard_normal((_BEGIN + 1, DIM)) * 0.1).astype(np.float32), "q": (rng.standard_normal((_ALL, DIM)) * 0.1).astype(np.float32), "b": np.where(some, log_noise, 0).astype(np.float32)}
     m, v = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
-    against = np.log(np.float32(NOISE)) + np.where(some, log_noise, 0)
-
-    def sigmoid(x: np.ndarray) -> np.ndarray:
-        np.negative(np.clip(x, -30, 30, out=x), out=x)
-        np.add(np.exp(x, out=x), 1, out=x)
-        return np.reciprocal(x, out=x)
-
-    for t in range(1, STEPS + 1 if len(cell) else 1):
-        drawn = cell[np.searchsorted(upto, rng.integers(0, upto[-1], DRAWN), side="right")]
-        h, w = drawn // _ALL, drawn % _ALL
-        x = np.minimum(np.searchsorted(bound, rng.random(NOISE) * bound[-1], side="right"), _ALL - 1)
-        r, q, z = p["r"][h], p["q"][w], p["q"][x]
-        right = ((1 - sigmoid((r * q).sum(1) + p["b"][w] - against[w])) / DRAWN).astype(np.float32)
-        wrong = sigmoid(r @ z.T + (p["b"][x] - against[x]))
-        wrong *= np.float32(-1 / DRAWN)
-        both = np.concatenate([w, x])
-        g = {
-            "r": _sums(p["r"], h, right[:, None] * q + wrong @ z),
-            "q": _sums(p["q"], both, np.concatenate([right[:, None] * r, wrong.T @ r])),
-            "b": _sums(p["b"], both, np.concatenate([right, wrong.sum(0)])),
-        }
-        now = 0.02 * (1 - 0.95 * t / STEPS)
+    against = (np.log(np.float32(NOISE)) + np.where(some, log_noise, 0)).astype(np.float32)
+    seen, total = np.flatnonzero(of_context), of_context.sum()
+    drawn = (NOISE * noise).astype(np.float32)
+
+    for t in range(1, ROUNDS + 1 if len(seen) else 1):
+        g = {k: np.zeros_like(x) for k, x in p.items()}
+        for k in range(0, len(seen), 256):
+            h = seen[k : k + 256]
+            r, own = p["r"][h], (of_context[h] / total).astype(np.float32)[:, None]
+            z = r @ p["q"].T
+            z += p["b"] - against
+            np.negative(np.clip(z, -30, 30, out=z), out=z)
+            np.reciprocal(np.add(np.exp(z, out=z), 1, out=z), out=z)  # the chance that a symbol is no noise
+            x = count[h] * np.float32(1 / total)
+            z *= x + own * drawn
+            x -= z
+            g["r"][h] = x @ p["q"]
+            g["q"] += x.T @ r
+            g["b"] += x.sum(0)
+        now = 0.1 * (1 - 0.9 * t / ROUNDS)
         for k, y in g.items():
             m[k] += np.float32(0.1) * (y - m[k])
-            y *= y
-            v[k] += np.float32(0.001) * (y - v[k])
-            y[:] = np.sqrt(v[k])
-            y *= np.float32(1 / np.sqrt(1 - 0.999**t))
-            y += np.float32(1e-8)
-            p[k] += np.float32(now / (1 - 0.9**t)) * m[k] / y
+            v[k] += np.float32(0.02) * (y * y - v[k])
+            p[k] += np.float32(now / (1 - 0.9**t)) * m[k] / (np.sqrt(v[k] / np.float32(1 - 0.98**t)) + np.float32(1e-10))
     p["b"][~some] = -np.inf
     if not some.any():
         p["b"][:] = 0

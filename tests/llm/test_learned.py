@@ -183,6 +183,16 @@ def test_language_model(spark):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and abs(r["base_score"]) < 1e-9 for r in alone)
 
 
+def test_all_pairs_count_in_the_fit(spark):
+    texts = spark.createDataFrame([("a b c a b " * k,) for k in range(1, 30)] + [("rare once",)], "text string").select(F.col("text").cast("binary"))
+    head = lm.head_of(lm.word_counts(texts), lm.HEAD)
+    pairs = lm.pair_counts(texts, head)
+    want = {r["cell"]: r["n"] for r in pairs.collect()}
+    got = lm.whole_counts(pairs)
+    assert got.shape == (lm._BEGIN + 1, lm._ALL) and int(got.sum()) == sum(want.values()) == head.total
+    assert {int(k): int(got.ravel()[k]) for k in np.flatnonzero(got)} == want
+
+
 def test_model_probabilities_add_up_to_one(spark):
     """Over all words that follow one context, the unseen one included."""
     train = spark.createDataFrame([("a b a c d e",), ("a b b f",)], "text string")
