@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _CUT, byte_letters, is_word, plain_word
+from .bpe import _CUT, _MARKS, byte_letters, is_word, plain_word
 from .common import Memo, arrow_map, delete_at_exit, pick, resident, shared_dir
 from .pieces import MARK, packed
 
@@ -50,20 +50,37 @@ class LibraryEncoder:
 
     def _word(self, word: str) -> bytes:
         """A word that the patterns leave in one part goes to the library's model alone, byte by byte as its letters."""
-        letters = self.letters[32] + word[1:] if word[1:].isascii() and word[1:].isalpha() else word.encode().decode("latin-1").translate(self.letters)
+        return self._ids(word.encode().decode("latin-1").translate(self.letters))
+
+    def _ids(self, letters: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _rest(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():  # its bytes are its letters
+            return self._ids(self.letters[32] + piece)
         if piece[:1] == MARK:
             return self._whole(piece[1:])
         return self._word(" " + piece) if is_word(piece) else self._piece(" " + piece)
 
     def _piece(self, piece: str) -> bytes:
         # a plain word, with marks behind it or not, is two words of the patterns; each is asked for once
-        if (two := plain_word(piece)) is None:
-            return self._whole(piece)
-        return self.of_word[two[0]] + (self.of_word[two[1]] if two[1] else b"")
+        if (two := plain_word(piece)) is not None:
+            return self.rest[two[0][1:]] + (self.of_word[two[1]] if two[1] else b"")
+        return self._whole(piece) if (lines := self._lines(piece)) is None else lines
+
+    def _lines(self, piece: str) -> bytes | None:
+        """A piece of such words with one line feed between each two, which is a word of the patterns by itself."""
+        first, *later = piece.split("\n")
+        if not later or (two := plain_word(first)) is None:
+            return None
+        found = [self.rest[two[0][1:]], self.of_word[two[1]] if two[1] else b""]
+        for line in later:
+            core = line.rstrip(_MARKS)
+            if not is_word(core):
+                return None
+            found += [self.of_word["\n"], self.of_word[core], self.of_word[line[len(core) :]] if len(core) < len(line) else b""]
+        return b"".join(found)
 
     def encode(self, text: str) -> bytes:
         if not text:

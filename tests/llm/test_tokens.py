@@ -133,3 +133,18 @@ def test_empty_tables_null_ids_and_repeated_rows(spark, rows):
     assert len(stored) == len(rows)
     if rows:
         assert [r["doc_id"] for r in stored] == [None, None, 1, 1] and stored[0]["n_tokens"] == 1
+
+
+def test_lines_of_words_are_asked_for_word_by_word(monkeypatch):
+    library = tokenizers.Tokenizer.from_file(PATH)
+    rng = random.Random(8)
+    lines = [" ".join(rng.choice(["Word", "and", "été", "it's", "end.\nNext", "list:\nOne,\nTwo.", "wh'\ns", "a_\nb", "x.\n\ny", "c\r\nd", "e\n", "\nf", "Zw.)\n(q", "中\nb", "1\n2", "k.\nm7"]) for _ in range(30)) for _ in range(300)]
+    encoder = token_store.LibraryEncoder(PATH)
+    asked = []
+    monkeypatch.setattr(encoder, "_whole", lambda text, real=encoder._whole: asked.append(text) or real(text))
+    pieces = [f"{a}{m}\n{b}{n}" for a in ("ab", "été", "The") for m in ("", ".", ".)", "'") for b in ("s", "But", "ça") for n in ("", ",", "'")]
+    for piece in pieces:
+        assert encoder.rest[piece] == np.array(library.encode(" " + piece, add_special_tokens=False).ids, "<u4").tobytes()
+    assert not asked
+    for text in lines:
+        assert encoder.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
