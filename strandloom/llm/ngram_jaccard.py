@@ -24,7 +24,7 @@ from math import comb, exp, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANKS, LOWER, Memo, anew, arrow_map, forget, mixed, pick, place, resident, slices, stored
@@ -525,12 +525,15 @@ def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_
     key = plain[f"_c{at}"].cast("bigint")
     linked = _linked(pick(df, **{id_col: "bigint", text_col: "string"}).toDF("id", "text"), n, part, whole).filter(F.col("id").isNotNull())
     least = F.col("component_id") == F.col("id")
-    ids = linked.groupBy("id").agg(F.count("*").alias("times"), F.max(least).alias("least"), F.max(F.col("root").isNotNull()).alias("links")).filter("least")
-    ids = stored(ids.select("id", (F.col("links") & (F.col("times") > 1)).alias("shared")), "least-ids")
-    kept = plain.join(ids.filter("not shared").select("id"), key == F.col("id"), "left_semi").unionByName(plain.filter(plain[f"_c{at}"].isNull()))
+    ids = linked.groupBy("id").agg(F.count("*").alias("times"), F.max(least).alias("least"), F.max(F.col("root").isNotNull()).alias("links"))
+    ids = stored(ids.select("id", "least", (F.col("least") & F.col("links") & (F.col("times") > 1)).alias("shared")), "ids")
+    alone = ids.filter("least and not shared").select("id")
+    # of most rows a filter tells that they stay; only those that may go are dealt by id
+    clear, unclear = _apart(plain, key, ids.filter("not least or shared").select("id"))
+    kept = clear.unionByName(unclear.join(alone, key == F.col("id"), "left_semi"))
     if not (shared := ids.filter("shared").select("id")).isEmpty():
         mine = linked.join(shared, "id", "left_semi").filter(least).select(F.col("id").alias("of"), F.col("digest").alias("own"), F.col("own_check").alias("check"), "root").distinct()
-        rows = plain.join(shared, key == F.col("id"), "left_semi").select(F.struct("*").alias("row"), key.alias("id"), F.col(f"_c{text_at}").cast("string").cast("binary").alias("text"))
+        rows = unclear.join(shared, key == F.col("id"), "left_semi").select(F.struct("*").alias("row"), key.alias("id"), F.col(f"_c{text_at}").cast("string").cast("binary").alias("text"))
         rows = _with_nodes(rows, n).withColumn("order", F.struct(F.xxhash64("row.`_c%d`" % text_at), F.monotonically_increasing_id()))
         rows = rows.join(mine, (F.col("id") == F.col("of")) & (F.col("node") == F.col("own")) & (F.col("own_check") == F.col("check")))
         # map tasks choose first, so a row repeated very often is no long group
@@ -539,6 +542,20 @@ def deduplicate(df: DataFrame, n: int = 5, part: int = 80, whole: int = 100, id_
     return kept.toDF(*df.columns)
 
 
+def _apart(rows: DataFrame, key: Column, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is surely not in ``ids`` (column id) or null, and the others: a filter of fixed size decides."""
+    of = lambda x: F.pmod(F.xxhash64(x), F.lit(FILTER_BITS)) + 1
+    p = of(F.col("id"))
+    bits = ids.select(F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bits = F.broadcast(stored(bits, "filter"))  # at most FILTER_BITS, 32,768 a row
+    p = of(key)
+    bit = F.bitmap_bit_position(p)
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(F.lit(7)).cast("int"))) != 0, F.lit(False))
+    marked = rows.join(bits, F.bitmap_bucket_number(p) == F.col("bucket"), "left").withColumn("hit", hit & key.isNotNull())
+    return marked.filter(~F.col("hit")).select(*rows.columns), marked.filter("hit").select(*rows.columns)
+
+
 def _with_nodes(rows: DataFrame, n: int) -> DataFrame:
     """row, id, node and own_check (digests of the text's set) of rows row, id, text."""
 

@@ -168,3 +168,37 @@ def test_different_sets_of_one_digest_stay_apart(spark, monkeypatch):
     assert got == brute(found, 3, 90, 100)
     kept = J.deduplicate(spark.createDataFrame([*found, (1, found[2][1])], "doc_id long, text string"), 3, 90, 100)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 6]
+
+
+def test_texts_that_stay_are_not_dealt(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000)) for _ in range(60)]
+    df = spark.createDataFrame([*((i, t, i) for i, t in enumerate(texts)), (60, texts[3] + " more", 60), (None, texts[4], 61)], "doc_id long, text string, other long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = J.deduplicate(df)
+        bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jsc.sc().statusStore()
+        written = lambda: (bus.waitUntilEmpty(), sum(s.shuffleWriteBytes() for s in stages(spark, store)))[1]
+        at = written()
+        assert sorted(r["other"] for r in kept.collect()) == [*range(60), 61]
+        assert written() - at < 200_000  # of 1.2 MB
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def stages(spark, store):
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    found = store.stageList(None, False, False, none, spark._jvm.java.util.ArrayList())
+    return [found.apply(i) for i in range(found.size())]
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 16])
+def test_the_filter_of_ids_misses_none(spark, monkeypatch, bits):
+    monkeypatch.setattr(J, "FILTER_BITS", bits)
+    ids = spark.range(0, 3000, 7)
+    rows = spark.range(-50, 3000).withColumn("id", F.when(F.col("id") >= -5, F.col("id")))
+    clear, unclear = J._apart(rows, F.col("id"), ids)
+    clear, unclear = [r["id"] for r in clear.collect()], {r["id"] for r in unclear.collect()}
+    assert clear.count(None) == 45 and None not in unclear and unclear >= set(range(0, 3000, 7))
+    assert sorted({*clear, *unclear} - {None}) == list(range(-5, 3000)) and len(clear) - 45 + len(unclear) == 3005
